@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tarazi.llm import bpe, contamination
+from tarazi.llm import bpe, contamination, truncation
 from tarazi.sources.records import table
 
 
@@ -18,5 +19,19 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return contamination.leaked(table(spark, folder, "documents", "doc_id", "text"), table(spark, folder, "eval_item", "item_id", "text")).select("item_id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p8_ids, p9_found)}
+def _cut(spark: SparkSession, folder: str) -> DataFrame:
+    return truncation.truncated(table(spark, folder, "documents", "doc_id", "source", "text"))
+
+
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents whose text was cut."""
+    return _cut(spark, folder).where(F.col("cut")).select("doc_id").distinct()
+
+
+def p10_share(spark: SparkSession, folder: str) -> DataFrame:
+    """Of each source the share of its texts that is cut."""
+    return truncation.truncation_report(_cut(spark, folder))
+
+
+QUERIES = {f.__name__: f for f in (p8_ids, p9_found, p10_found, p10_share)}
 ORACLES: dict[str, str] = {}
