@@ -104,6 +104,11 @@ def _walk(trie: dict, text: str, start: int):
             yield i + 1, value
 
 
+# Cyrillic letters that look like a Latin one, for units that mix both.
+LOOKALIKES = str.maketrans("аеорсхуіѕјкмтнг", "aeopcxyisjkmtng")
+_LATIN = re.compile("[a-z]")
+
+
 def fold(text: str) -> str:
     """Lower case with the dotted and dotless i of Azerbaijani kept apart from a combining dot."""
     return text.replace("İ", "i").replace("I", "ı" if re.search("[ƏəÇçŞşĞğÖöÜü]", text) else "i").lower()
@@ -121,6 +126,8 @@ def read_unit(text: str, field: str = "size") -> Unit | None:
     s = re.sub(r"[\s ]+", "", fold(text)).strip(".,-–_")
     if not s or len(s) > 24:
         return None
+    if _LATIN.search(s):
+        s = s.translate(LOOKALIKES)
     prior = PRIORS[field]
     # best[(position, state)] = (score, dimension, scale, takes prefix); states: 0 start, 1 after prefix, 2 after root, 3 after exponent
     best: dict = {(0, 0): (0.0, None, Decimal(1))}
