@@ -232,6 +232,6 @@ def truncated(documents: DataFrame) -> DataFrame:
     return judged.mapInPandas(_judge, "doc_id long, source string, at_limit boolean, cut boolean")
 
 
-def truncation_report(documents: DataFrame, found: DataFrame) -> DataFrame:
+def truncation_report(found: DataFrame) -> DataFrame:
     """Of each source its texts that are not blank, those cut, and their share."""
     return found.groupBy("source").agg(F.count(F.lit(1)).alias("texts"), F.sum(F.col("cut").cast("long")).alias("cut_texts"), F.sum(F.col("at_limit").cast("long")).alias("at_limit"), F.avg(F.col("cut").cast("double")).alias("share"))
