@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarazi.session import cut_lineage
+
 #: A key with more than this share of the rows is heavy; there are at most 1/HEAVY_SHARE of them.
 HEAVY_SHARE = 1 / 64
 
@@ -16,8 +18,9 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, count: str, row_id: list
     which are added to ``rows``.  Keys over HEAVY_SHARE of all rows, at most 64 by definition,
     are broadcast; all others are joined by shuffle.  Rows that need no shuffle partner (null
     or heavy key) are spread by a hash of ``row_id`` under a key that matches nothing.  Null
-    keys get nulls.  Columns of ``rows`` that clash with the table's are not allowed.
+    keys get nulls.  ``table`` is written once to the shared folder.  Columns of ``rows`` that clash with the table's are not allowed.
     """
+    table = cut_lineage(table)  # it is read three times below
     added = [c for c in table.columns if c not in (key, count)]
     total = table.agg(F.sum(count)).scalar()
     heavy = table.where(F.col(count) > F.greatest(total * HEAVY_SHARE, F.lit(10_000))).select(F.col(key).alias("_hk"), F.struct(*added).alias("_hv"))
