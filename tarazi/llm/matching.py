@@ -138,10 +138,9 @@ def probability(weights: list[float], steps: list[tuple[float, float]]) -> Colum
     score = reduce(lambda a, b: a + b, [F.col(f) * w for f, w in zip(FEATURES, weights)], F.lit(weights[-1]))
     if not steps:
         return 1 / (1 + F.exp(-score))
-    out = F.lit(steps[0][1])
-    for low, p in steps[1:]:
-        out = F.when(score >= low - 1e-9, F.lit(p)).otherwise(out)
-    return out
+    levels = F.array(*[F.struct(F.lit(low - 1e-9).alias("low"), F.lit(p).alias("p")) for low, p in steps])
+    reached = F.filter(levels, lambda s: s["low"] <= score)
+    return F.coalesce(F.try_element_at(reached, F.lit(-1))["p"], F.lit(steps[0][1]))
 
 
 def match_registry(profiles: DataFrame, decisions: DataFrame, accept: float = ACCEPT, margin: float = MARGIN) -> DataFrame:

@@ -146,11 +146,12 @@ def profiles(items: DataFrame, products: DataFrame) -> DataFrame:
     once.  Words are joined by shuffle, as the vocabulary grows with the data.
     """
     raw = cut_lineage(raw_terms(items, products))
-    v = _vocabulary(raw)
-    known = _known(v)
+    v = cut_lineage(_vocabulary(raw))
+    known = cut_lineage(_known(v))
     repairs = _repairs(v, known)
     role = v.join(known.select("word", F.lit(True).alias("known")), "word", "left").join(repairs, "word", "left")
     role = role.select("word", F.coalesce("target", "word").alias("target"), "n", "n_kinds", "registered", "branded", "variant_of", F.coalesce("known", F.lit(False)).alias("known"))
+    role = cut_lineage(role)
     of_target = role.select(F.col("word").alias("target"), F.struct("n", "n_kinds", "registered", "branded", "variant_of").alias("t"))
     # a word that is only a kind's word may be missing from the rows as such, so the target's own row is optional
     roles = role.select("word", "target", "known").join(of_target, "target", "left")
@@ -170,7 +171,7 @@ def profiles(items: DataFrame, products: DataFrame) -> DataFrame:
     as_word = F.struct("word", "target", "known", "maker", "variant_of")
     found = got.where(F.col("target").isNotNull()).groupBy("src", "id").agg(F.flatten(F.collect_list(F.array(as_word, as_target))).alias("found"))
     joined = raw.drop("kind").join(found, ["src", "id"], "left").withColumn("found", F.coalesce("found", F.array().cast("array<struct<word:string,target:string,known:boolean,maker:boolean,variant_of:array<string>>>")))
-    return joined.dropDuplicates(["src", "id"]).mapInPandas(_assemble, PROFILE)
+    return cut_lineage(joined.dropDuplicates(["src", "id"]).mapInPandas(_assemble, PROFILE))
 
 
 assert len(KINDS) < 200

@@ -7,14 +7,13 @@ from pyspark.sql import functions as F
 
 from tarazi.llm import bpe, contamination, duplicates, matching, truncation
 from tarazi.llm.profiles import profiles
-from tarazi.session import cut_lineage
 from tarazi.sources.records import table
 
 
 def _profiles(spark: SparkSession, folder: str) -> DataFrame:
     items = table(spark, folder, "store_item", "id", "name_raw", "brand", "unit_value", "unit_type", "pack", "ean")
     products = table(spark, folder, "product", "id", "name", "brand", "unit_value", "unit_type", "pack", "ean")
-    return cut_lineage(profiles(items, products))
+    return profiles(items, products)
 
 
 def p5_matches(spark: SparkSession, folder: str) -> DataFrame:
