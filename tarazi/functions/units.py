@@ -233,7 +233,7 @@ def recorded_size(value, unit: str | None) -> tuple[Decimal, str] | None:
     return (v, BASE[u.dimension]) if v > 0 else None
 
 
-_MONEY_PARTS = re.compile(r"([-+]?\s*\d[\d\s ]*(?:[.,]\d+)?)|([^\d\s.,+-]+(?:\.(?!\d))?)")
+_MONEY_PARTS = re.compile(r"([-+]?\s*(?:\d{1,3}(?:\s\d{3})+(?!\d)|\d+)(?:[.,]\d+)?)|([^\d\s.,+-]+(?:\.(?!\d))?)")
 
 
 @lru_cache(maxsize=65536)
