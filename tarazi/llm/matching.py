@@ -104,7 +104,8 @@ def fit_isotonic(score: np.ndarray, y: np.ndarray) -> list[tuple[float, float]]:
             top = merged.pop()
             merged[-1][1] += top[1]
             merged[-1][2] += top[2]
-    return [(float(s), float((v + 0.5) / (n + 1))) for s, v, n in merged]
+    smooth = np.maximum.accumulate([(v + 0.5) / (n + 1) for _, v, n in merged]) if merged else []
+    return [(float(b[0]), float(p)) for b, p in zip(merged, smooth)]
 
 
 def weak_labels(decisions: DataFrame) -> DataFrame:

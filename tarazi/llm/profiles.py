@@ -22,7 +22,7 @@ from tarazi.session import cut_lineage
 VARIANT_SHARE, VARIANT_COMPANIONS = 0.08, 4
 #: A word is a misspelling of one that is so many times as frequent.
 REPAIR_RATIO = 3
-#: An unknown word that occurs so often, and in no more kinds than this, is a maker or origin.
+#: An unknown word that occurs so often, and in no more kinds than this, is a maker or origin where the row states no other.
 MAKER_COUNT, MAKER_KINDS = 3, 4
 
 RAW = "src string, id long, tokens array<string>, brand array<string>, size string, pack int, ean string, kind string"
@@ -122,7 +122,7 @@ def _assemble(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             known = lambda w: w in info and info[w]["known"] or w in KIND_WORDS
             words = [target(w) for w in whole_words(tuple(tokens), known)]
             kind, own = kind_of(words)
-            variant, maker, extra = set(), set(), []
+            variant, maker, origin, extra = set(), set(), set(), []
             for w in words:
                 f = info.get(w)
                 if w in own:
@@ -131,9 +131,13 @@ def _assemble(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     variant.add(w)
                 elif f is not None and f["maker"]:
                     maker.add(w)
+                elif f is not None and f["origin"]:
+                    origin.add(w)
                 else:
                     extra.append(w)
             maker = maker or {target(w) for w in brand}
+            extra += sorted(origin) if maker else []
+            maker = maker or origin
             rows.append((src, i, kind, " ".join(sorted(variant)) or None, " ".join(sorted(maker)) or None, weighed(kind, size), 1 if weighed(kind, size) == "bulk" else pack, ean, extra))
         yield pd.DataFrame(rows, columns=["src", "id", "kind", "variant", "maker", "size", "pack", "ean", "extra"])
 
@@ -158,8 +162,8 @@ def profiles(items: DataFrame, products: DataFrame) -> DataFrame:
     alpha = F.col("word").rlike(r"^\p{L}{4,}$")
     unknown_maker = ~F.col("known") & alpha & (F.col("t.n") >= MAKER_COUNT) & (F.col("t.n_kinds") <= MAKER_KINDS) & (F.col("t.n_kinds") >= 1)
     variant_of = F.coalesce(F.col("t.variant_of"), F.array().cast("array<string>"))
-    maker = F.coalesce(F.col("t.branded"), F.lit(False)) | (F.coalesce(F.col("t.registered"), F.lit(False)) & (F.size(variant_of) == 0)) | F.coalesce(unknown_maker, F.lit(False))
-    roles = roles.select("word", "target", "known", maker.alias("maker"), variant_of.alias("variant_of"))
+    maker = F.coalesce(F.col("t.branded"), F.lit(False)) | (F.coalesce(F.col("t.registered"), F.lit(False)) & (F.size(variant_of) == 0))
+    roles = roles.select("word", "target", "known", maker.alias("maker"), F.coalesce(unknown_maker, F.lit(False)).alias("origin"), variant_of.alias("variant_of"))
     pairs = F.transform(F.sequence(F.lit(0), F.greatest(F.size("tokens") - 2, F.lit(0))), lambda i: F.concat(F.get("tokens", i), F.get("tokens", i + 1)))
     pairs = F.filter(pairs, lambda w: w.isNotNull())
     wanted = raw.select("src", "id", F.explode(F.array_distinct(F.concat("tokens", pairs, "brand"))).alias("word"))
@@ -167,10 +171,10 @@ def profiles(items: DataFrame, products: DataFrame) -> DataFrame:
     counts = wanted.groupBy("word").agg(F.count(F.lit(1)).alias("_n"))
     info = counts.join(roles, "word")
     got = lookup(wanted, info, "word", "_n", ["id", "word"])
-    as_target = F.struct(F.col("target").alias("word"), "target", "known", "maker", "variant_of")
-    as_word = F.struct("word", "target", "known", "maker", "variant_of")
+    as_target = F.struct(F.col("target").alias("word"), "target", "known", "maker", "origin", "variant_of")
+    as_word = F.struct("word", "target", "known", "maker", "origin", "variant_of")
     found = got.where(F.col("target").isNotNull()).groupBy("src", "id").agg(F.flatten(F.collect_list(F.array(as_word, as_target))).alias("found"))
-    joined = raw.drop("kind").join(found, ["src", "id"], "left").withColumn("found", F.coalesce("found", F.array().cast("array<struct<word:string,target:string,known:boolean,maker:boolean,variant_of:array<string>>>")))
+    joined = raw.drop("kind").join(found, ["src", "id"], "left").withColumn("found", F.coalesce("found", F.array().cast("array<struct<word:string,target:string,known:boolean,maker:boolean,origin:boolean,variant_of:array<string>>>")))
     return cut_lineage(joined.dropDuplicates(["src", "id"]).mapInPandas(_assemble, PROFILE))
 
 
