@@ -3,7 +3,8 @@
 A hash set of the items' normalised n-grams is broadcast in blocks of bounded size; a window
 slides over the words of every document, and where it hits, the document is aligned with the
 item around the hits.  A hit stands when a dozen words are matched in their order with few
-words changed, counted over the words that the item does not share with the other items.
+words changed, and more figures and words that the item does not share with others are matched
+than changed: texts made after the same pattern have other ones.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import reduce
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -27,8 +29,8 @@ PASSAGE, MATCHED = 12, 10
 BLOCK_WORDS = 200_000
 #: Item words covered by hits before a document is aligned: a dozen words with three changed cover at least these.
 COVERED = 6
-#: Share of an alignment's own words (not shared with over a tenth of the items) that must match.
-OWN_SHARE = 0.75
+#: Share of an alignment's own words (not shared with over a tenth of the items) that must match, without and with figures among them.
+OWN_SHARE, OWN_SHARE_WITH_FIGURES = 0.75, 0.5
 #: Item words beyond which a seed is too common to start an alignment by itself.
 COMMON = 0.1
 
@@ -58,8 +60,25 @@ def words_of(text: str | None) -> list[str]:
     return _WORD.findall(_DECIMAL.sub("", t))
 
 
-def align(item: list[str], doc: list[str], own: set[str]) -> tuple[int, int, int, int]:
-    """Best local alignment: matched words, changed words, and the same of the item's own words."""
+class Alignment(NamedTuple):
+    """Item words that are matched and words that are changed, in all, of the item's own words and of its numbers."""
+
+    matched: int
+    changed: int
+    own_matched: int
+    own_changed: int
+    numbers_matched: int
+    numbers_changed: int
+
+    def is_passage(self) -> bool:
+        """Long enough, and told from look-alikes by its figures, or by more of its own words where it has none."""
+        share = OWN_SHARE if self.numbers_matched + self.numbers_changed == 0 else OWN_SHARE_WITH_FIGURES
+        figures = self.numbers_matched > self.numbers_changed or self.numbers_matched == self.numbers_changed == 0
+        return self.matched >= MATCHED and self.matched + self.changed >= PASSAGE and figures and self.own_matched >= share * (self.own_matched + self.own_changed)
+
+
+def align(item: list[str], doc: list[str], own: set[str]) -> Alignment:
+    """The best local alignment of an item with a stretch of a document."""
     m, n = len(item), len(doc)
     rows = [[0] * (n + 1)]
     best = (0, 0, 0)
@@ -78,25 +97,23 @@ def align(item: list[str], doc: list[str], own: set[str]) -> tuple[int, int, int
                     best = (v, i, j)
         rows.append(row)
     _, i, j = best
-    matched = changed = own_matched = own_changed = 0
+    good: list[str] = []
+    bad: list[str] = []
+    added = 0
     while i > 0 and j > 0 and rows[i][j] > 0:
         v, x = rows[i][j], item[i - 1]
         if v == rows[i - 1][j - 1] + (1 if x == doc[j - 1] else -1):
-            if x == doc[j - 1]:
-                matched += 1
-                own_matched += x in own
-            else:
-                changed += 1
-                own_changed += x in own
+            (good if x == doc[j - 1] else bad).append(x)
             i, j = i - 1, j - 1
         elif v == rows[i - 1][j] - 1:
-            changed += 1
-            own_changed += x in own
+            bad.append(x)
             i -= 1
         else:
-            changed += 1
+            added += 1
             j -= 1
-    return matched, changed, own_matched, own_changed
+    ours = lambda ws: sum(w in own for w in ws)
+    figures = lambda ws: sum(any(c.isdigit() for c in w) for w in ws)
+    return Alignment(len(good), len(bad) + added, ours(good), ours(bad), figures(good), figures(bad))
 
 
 class Index:
@@ -104,7 +121,7 @@ class Index:
 
     def __init__(self, items: list[tuple[int, str]], shared: dict[str, float]):
         self.words = {i: words_of(t) for i, t in items}
-        self.own = {i: {w for w in ws if w.isdigit() or shared.get(w, 0) <= COMMON} for i, ws in self.words.items()}
+        self.own = {i: {w for w in ws if any(c.isdigit() for c in w) or shared.get(w, 0) <= COMMON} for i, ws in self.words.items()}
         self.places: dict[tuple, list] = defaultdict(list)
         for i, ws in self.words.items():
             n = min(NGRAM, len(ws))
@@ -127,9 +144,9 @@ class Index:
                     continue
                 start = max(0, min(k - at for k, at in group) - PASSAGE)
                 end = max(k - at for k, at in group) + len(words) + PASSAGE
-                matched, changed, own_matched, own_changed = align(words, doc[start:end], own)
-                if matched >= MATCHED and matched + changed >= PASSAGE and own_matched >= OWN_SHARE * (own_matched + own_changed) and (best is None or matched > best[1]):
-                    best = (item, matched, changed)
+                got = align(words, doc[start:end], own)
+                if got.is_passage() and (best is None or got.matched > best[1]):
+                    best = (item, got.matched, got.changed)
             if best:
                 yield best
 

@@ -18,11 +18,13 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarazi.functions.units import read_unit
 from tarazi.operators.skew import lookup
 from tarazi.session import cut_lineage
 
@@ -31,14 +33,16 @@ SPIKE_SHARE, SPIKE_COUNT, SPIKE_WIDTH = 0.03, 4, 3
 #: Longest tail, in tokens, that is held against the corpus.
 TAIL = 4
 #: Uses of a context that make it known, and a tail's least share of endings among its own uses and among those of its context.
-KNOWN, END_SHARE, CONTEXT_SHARE = 5, 0.25, 0.05
+KNOWN, END_SHARE, CONTEXT_SHARE = 5, 0.25, 0.02
 
 _MARK = re.compile(r"\s*(?:\.\.+|…)\s*$")
 _PICTURES = re.compile(r"(?:\s*(?:[☀-➿⬀-⯿\U0001f000-\U0001faff️‍]|[:;]-?[)(D]))+\s*$")
 _CLOSED = re.compile(r"[.!?。！？][\"'”’»)\]]*$")
 _TOKEN = re.compile(r"[^\W_]+(?:[-.,/:][^\W_]+)*|[^\w\s]|_")
 _DECIMAL, _HEX, _SIZE = re.compile(r"\d+[.,](\d{1,2})"), re.compile(r"(?=.*\d)[0-9a-f]{6,}"), re.compile(r"\d+(?:[.,]\d+)?([^\W\d_]+)")
+_MEASURE = re.compile(r"\d+(?:[.,]\d+)?\s?([^\W\d_]{1,8})(?![^\W_])")
 _NUMBERED = re.compile(r"\d[.,]?$")
+_LETTER, _NUMBERS = re.compile(r"[^\W\d_]"), re.compile(r"\d+")
 _DIGIT = re.compile(r"\d")
 _TAGS, _ITEM = re.compile(r"\s*(?:#\S+\s*)+"), re.compile(r"\s*[-*•]\s+\S")
 
@@ -47,19 +51,33 @@ def pattern(token: str) -> str:
     """A token without the digits that vary: a price keeps its number of decimals, a date and a code their form."""
     if token.isalpha():
         return token.lower()
+    if _HEX.fullmatch(token):
+        return "x" * len(token)
     if token.isdigit():
         return "9" if len(token) < 4 else "9" * len(token)
     if m := _DECIMAL.fullmatch(token):
         return "9." + "9" * len(m[1])
     if m := _SIZE.fullmatch(token):
         return "9" + m[1].lower()
-    if _HEX.fullmatch(token):
-        return "x" * len(token)
+    if "/" in token and _LETTER.search(token):
+        return _NUMBERS.sub("9", token.lower())  # an address
     return _DIGIT.sub("9", token.lower())
 
 
+@lru_cache(maxsize=4096)
+def _is_measure(word: str) -> bool:
+    u = read_unit(word)
+    return u is not None and u.dimension in ("mass", "volume", "count")
+
+
+def _sized(m: re.Match) -> str:
+    """One token for every size, however its number and unit are written."""
+    return "9u" if _is_measure(m[1]) else m[0]
+
+
 def tokens_of(line: str) -> tuple[list[str], list[bool]]:
     """Patterns of a line after a start mark, and whether each is followed by more of its sentence."""
+    line = _MEASURE.sub(_sized, line)
     tokens, goes_on, n = ["^"], [True], len(line)
     for m in _TOKEN.finditer(line):
         tokens.append(pattern(m[0]))

@@ -59,4 +59,4 @@ def test_empty(spark):
 
 
 def test_patterns():
-    assert [truncation.pattern(x) for x in ("12", "1234", "32,8", "32.80", "AB-054", "f9477362", "500QR", "Word", "2026-01-02")] == ["9", "9999", "9.9", "9.99", "ab-999", "xxxxxxxx", "9qr", "word", "9999-99-99"]
+    assert [truncation.pattern(x) for x in ("12", "1234", "32,8", "32.80", "AB-054", "f9477362", "40018972", "500QR", "Word", "2026-01-02")] == ["9", "9999", "9.9", "9.99", "ab-999", "xxxxxxxx", "xxxxxxxx", "9qr", "word", "9999-99-99"]
