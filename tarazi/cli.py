@@ -7,7 +7,7 @@ import sys
 
 from tarazi.ops.ledger import Ledger
 from tarazi.plans import marts, problems
-from tarazi.session import local_session
+from tarazi.session import clear_scratch, local_session
 from tarazi.sources import landing
 
 QUERIES = {**marts.QUERIES, **problems.QUERIES}
@@ -33,6 +33,7 @@ def main(argv: list[str] | None = None) -> int:
     if a.verb == "query":
         df = QUERIES[a.name](spark, a.folder)
         df.write.mode("errorifexists").parquet(a.out) if a.out else df.show(20, truncate=False)
+        clear_scratch(spark)
         return 0
     ledger = Ledger(spark, f"{a.store}/events")
     stats = ledger.step("ingest", lambda: ingest(spark, a.landing, a.store, a.as_of))
@@ -41,7 +42,7 @@ def main(argv: list[str] | None = None) -> int:
 
 
 def ingest(spark, folder: str, store: str, as_of: str | None = None) -> dict:
-    """Append the records of files that the store has not seen, then their ledger rows: a run that stops between the two is repeated whole."""
+    """Append the records of files that the store has not seen, then their ledger rows: a run that stopped between the two is made whole by the next, without repeated records."""
     ledger_path, records_path = f"{store}/ledger", f"{store}/records"
     schema = "source string, file_sha256 string, path string, kind string, business_date date, file_bytes long"
     jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
@@ -53,7 +54,8 @@ def ingest(spark, folder: str, store: str, as_of: str | None = None) -> dict:
     if not listed:
         return {"files": 0}
     seen = landing.raw_records(files)
-    if known:
+    records_at = jvm.Path(records_path)
+    if records_at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(records_at):  # a run may have stopped before its ledger rows
         old = spark.read.parquet(records_path).select("source", "file_sha256").distinct()
         seen = seen.join(old, ["source", "file_sha256"], "left_anti")
     landing.append_records(seen, records_path)

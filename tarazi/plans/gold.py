@@ -33,13 +33,23 @@ def median(x: str | Column) -> Column:
 
 
 def daily_price(obs: DataFrame) -> DataFrame:
-    """One row an item, price point and day: the price of most stores, the smallest of equally frequent ones."""
-    return obs.groupBy("store_item_id", "retailer_code", "price_point_key", "price_zone", "observed_date").agg(
-        F.expr("mode() WITHIN GROUP (ORDER BY price_qepik)").alias("price_qepik"),
-        F.expr("mode() WITHIN GROUP (ORDER BY old_price_qepik)").alias("old_price_qepik"),
+    """One row an item, price point and day: the price of most stores, the smallest of equally frequent ones.
+
+    Prices and old prices are counted by value, each combined before its shuffle, and the most
+    frequent value is taken from the counts; a group never holds more than its distinct values.
+    """
+    keys = ["store_item_id", "retailer_code", "price_point_key", "price_zone", "observed_date"]
+    values = F.array(F.struct(F.lit(0).alias("kind"), F.col("price_qepik").alias("v")), F.struct(F.lit(1).alias("kind"), F.col("old_price_qepik").alias("v")))
+    stated = obs.select(*keys, "available", F.explode(values).alias("x")).where("x.kind = 0 or x.v is not null")
+    counted = stated.groupBy(*keys, "x.kind", "x.v").agg(F.count(F.lit(1)).alias("n"), F.bool_or("available").alias("available"))
+    price = F.col("kind") == 0
+    mode = lambda which: -F.max(F.when(which & F.col("v").isNotNull(), F.struct("n", (-F.col("v")).alias("least"))))["least"]
+    return counted.groupBy(*keys).agg(
+        mode(price).alias("price_qepik"),
+        mode(~price).alias("old_price_qepik"),
         F.bool_or("available").alias("available"),
-        F.count(F.lit(1)).alias("n_stores"),
-        F.countDistinct("price_qepik").alias("n_distinct_prices"),
+        F.sum(F.when(price, F.col("n"))).alias("n_stores"),
+        F.count(F.when(price & F.col("v").isNotNull(), 1)).alias("n_distinct_prices"),
     )
 
 

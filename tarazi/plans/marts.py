@@ -2,43 +2,68 @@
 
 from __future__ import annotations
 
+from functools import cached_property, reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarazi.functions import scalars
-from tarazi.operators import quality, upserts
+from tarazi.operators import cascade, quality, rejects, upserts
 from tarazi.plans import adapter, gold
+from tarazi.session import cut_lineage
 from tarazi.sources.records import table
 from tarazi.streaming import windows as streams
 
 
 class _Models:
-    """The models of one folder, built on each other; nothing runs before a result is asked for."""
+    """The models of one folder, built on each other when they are asked for.
+
+    The item dimension and the fact are tables in a warehouse; here each is written once to the
+    shared folder, so that the marts above, which read it several times, do not build it again.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.obs = adapter.observations(spark, folder)
-        self.items = adapter.items(self.obs)
-        self.products = gold.dim_product(self.items)
         self.daily = gold.daily_price(self.obs)
         self.regular = gold.regular_price(self.daily)
         self.fact0 = gold.daily_fact(self.regular)
-        self.fact = gold.with_product(self.fact0, self.items, self.products)
-        self.ref = gold.retailer_regular_daily(self.fact)
-        self.cells = gold.period_price_point(self.fact)
-        self.levels = gold.period_retailer(self.cells, self.products)
-        self.quantities = self.products.select("category", F.lit(2).cast("long").alias("quantity")).distinct()
 
-    @property
+    @cached_property
+    def items(self) -> DataFrame:
+        return cut_lineage(adapter.items(self.obs))
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return gold.dim_product(self.items)
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return cut_lineage(gold.with_product(self.fact0, self.items, self.products))
+
+    @cached_property
+    def ref(self) -> DataFrame:
+        return gold.retailer_regular_daily(self.fact)
+
+    @cached_property
+    def cells(self) -> DataFrame:
+        return gold.period_price_point(self.fact)
+
+    @cached_property
+    def levels(self) -> DataFrame:
+        return gold.period_retailer(self.cells, self.products)
+
+    @cached_property
     def index(self) -> DataFrame:
         return gold.price_index(self.levels)
 
-    @property
+    @cached_property
     def promos(self) -> DataFrame:
         return gold.promo_analysis(self.fact, self.ref)
 
-    @property
+    @cached_property
     def basket(self) -> DataFrame:
-        return gold.basket_definition(self.products, self.quantities)
+        quantities = self.products.select("category", F.lit(2).cast("long").alias("quantity")).distinct()
+        return gold.basket_definition(self.products, quantities)
 
 
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -123,6 +148,22 @@ def fingerprint_blocks(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "store_item", "id", "name_raw").select("id", scalars.fingerprint(name).alias("fingerprint"), scalars.loose_fingerprint(name).alias("loose"), scalars.fat_percent(name).alias("fat"))
 
 
+def cascade_match(spark: SparkSession, folder: str) -> DataFrame:
+    """Products of the listings by barcode, fingerprints and similar names."""
+    return cascade.cascade(table(spark, folder, "store_item"))
+
+
+def record_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Loaded records beyond the first of their source, SKU, store and day, with the price that was kept."""
+    loaded = rejects.parse_records(table(spark, folder, "raw_record")).where(F.col("error").isNull())
+    keys = ["source", "sku", "store_code", "business_date"]
+    rows = loaded.select("batch_id", "row_num", *keys, "price_qepik")
+    first = rows.groupBy(*keys).agg(F.min(F.struct("batch_id", "row_num", "price_qepik")).alias("kept"))
+    joined = rows.alias("r").join(first.alias("f"), reduce(lambda a, b: a & b, [F.col(f"r.{k}").eqNullSafe(F.col(f"f.{k}")) for k in keys]))
+    later = (F.col("r.batch_id") != F.col("kept.batch_id")) | (F.col("r.row_num") != F.col("kept.row_num"))
+    return joined.where(later).select("r.*", F.col("kept.price_qepik").alias("kept_price_qepik"), (F.col("r.price_qepik") != F.col("kept.price_qepik")).alias("conflicting"))
+
+
 def lineage_union(spark: SparkSession, folder: str) -> DataFrame:
     count = lambda name, kind: table(spark, folder, name, "source").groupBy("source").agg(F.count(F.lit(1)).alias("n")).select(F.lit(kind).alias("kind"), "source", "n")
     return count("raw_record", "raw").unionByName(count("ingest_batch", "batch"))
@@ -203,7 +244,7 @@ QUERIES = {
 } | {
     f.__name__: f
     for f in (
-        dedupe_first, duplicate_keys, reconciliation, batch_reconciliation, trailing_median, freshness, ean_conflicts, gtin_check, normalize_text, fingerprint_blocks,
+        dedupe_first, duplicate_keys, reconciliation, batch_reconciliation, trailing_median, freshness, ean_conflicts, gtin_check, normalize_text, fingerprint_blocks, cascade_match, record_duplicates,
         lineage_union, sha_dedupe, match_quality, product_search, scd2_snapshot, item_upsert, append_once, event_windows,
     )
 }

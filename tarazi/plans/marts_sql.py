@@ -99,7 +99,7 @@ ORACLES = {
     "ean_conflicts": "SELECT ean, count(DISTINCT struct_pack(a := unit_type, b := unit_value, c := pack)) AS n FROM store_item WHERE ean_kind = 'global' GROUP BY ean HAVING count(DISTINCT struct_pack(a := unit_type, b := unit_value, c := pack)) > 1",
     "gtin_check": """SELECT id, coalesce(regexp_full_match(ean, '[0-9]+') AND length(ean) IN (8, 12, 13, 14) AND (10 - (SELECT sum(CAST(substr(ean, length(ean) - i, 1) AS INTEGER) * CASE WHEN i % 2 = 1 THEN 3 ELSE 1 END) FROM (SELECT unnest(generate_series(1, length(ean) - 1)) AS i)) % 10) % 10 = CAST(right(ean, 1) AS INTEGER), false) AS is_valid
         FROM (SELECT id, CASE WHEN regexp_full_match(ean, '[0-9]+') THEN ean END AS ean FROM store_item)""",
-    "normalize_text": "SELECT doc_id, trim(regexp_replace(strip_accents(lower(translate(text, 'ƏəIıİÖöÜüÇçŞşĞğ', 'aaiiioouuccssgg'))), '\\s+', ' ', 'g')) AS norm FROM documents WHERE false",
+    "normalize_text": "SELECT id, trim(regexp_replace(strip_accents(lower(translate(name_raw, 'ƏəIıİÖöÜüÇçŞşĞğ', 'aaiiioouuccssgg'))), '\\s+', ' ', 'g')) AS norm FROM store_item",
     "lineage_union": "SELECT 'raw' AS kind, source, count(*) AS n FROM raw_record GROUP BY 2 UNION ALL SELECT 'batch', source, count(*) FROM ingest_batch GROUP BY 2",
     "sha_dedupe": "SELECT any_value(source) AS source, file_sha256, min(batch_id) AS batch_id FROM ingest_batch GROUP BY source, file_sha256",
     "match_quality": "WITH l AS (SELECT store_item_id, max_by(product_id, (snapshot_date, loaded_at, product_id)) AS p FROM product_match_snap WHERE product_id IS NOT NULL GROUP BY 1), j AS (SELECT p AS a, ean AS b FROM l JOIN store_item ON id = store_item_id WHERE ean_kind = 'global' AND ean IS NOT NULL) SELECT f AS found, t AS real, r AS \"right\", r / nullif(f, 0) AS \"precision\", r / nullif(t, 0) AS recall FROM (SELECT CAST(sum(n * (n - 1) // 2) AS BIGINT) AS f FROM (SELECT count(*) AS n FROM j GROUP BY a)), (SELECT CAST(sum(n * (n - 1) // 2) AS BIGINT) AS t FROM (SELECT count(*) AS n FROM j GROUP BY b)), (SELECT CAST(sum(n * (n - 1) // 2) AS BIGINT) AS r FROM (SELECT count(*) AS n FROM j GROUP BY a, b))",
@@ -113,4 +113,3 @@ ORACLES = {
     "append_once": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders o WHERE NOT EXISTS (SELECT 1 FROM (SELECT * FROM orders WHERE o_orderstatus = 'F') e WHERE e.o_orderkey = o.o_orderkey)",
     "event_windows": "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2",
 }
-del ORACLES["normalize_text"]

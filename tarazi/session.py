@@ -52,9 +52,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_folder(spark).rstrip('/')}/tarazi-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder, for a table that one query writes and reads."""
-    return f"{checkpoint_folder(spark).rstrip('/')}/tarazi-{name}-{uuid.uuid4().hex}"
+    """A new path below the application's part of the shared folder, for a table that one query writes and reads."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the tables that this application's queries wrote to the shared folder; results not yet read are lost."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
