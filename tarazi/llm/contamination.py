@@ -3,8 +3,8 @@
 A hash set of the items' normalised n-grams is broadcast in blocks of bounded size; a window
 slides over the words of every document, and where it hits, the document is aligned with the
 item around the hits.  A hit stands when a dozen words are matched in their order with few
-words changed, and more figures and words that the item does not share with others are matched
-than changed: texts made after the same pattern have other ones.
+words changed, and as many figures and words that the item does not share with others are matched
+as changed: texts made after the same pattern have other ones.
 """
 
 from __future__ import annotations
@@ -71,9 +71,10 @@ class Alignment(NamedTuple):
     numbers_changed: int
 
     def is_passage(self) -> bool:
-        """Long enough, and told from look-alikes by its figures, or by more of its own words where it has none."""
-        share = OWN_SHARE if self.numbers_matched + self.numbers_changed == 0 else OWN_SHARE_WITH_FIGURES
-        figures = self.numbers_matched > self.numbers_changed or self.numbers_matched == self.numbers_changed == 0
+        """Long enough, and told from look-alikes by its figures, or by its own words with one changed at most."""
+        told_by_figures = self.numbers_matched >= max(1, self.numbers_changed)
+        figures = told_by_figures or self.own_changed <= 1
+        share = OWN_SHARE_WITH_FIGURES if told_by_figures else OWN_SHARE
         return self.matched >= MATCHED and self.matched + self.changed >= PASSAGE and figures and self.own_matched >= share * (self.own_matched + self.own_changed)
 
 
