@@ -54,8 +54,8 @@ def apart(a: Column, b: Column, tolerance: str = TOLERANCE) -> Column:
 def size_conflicts(items: DataFrame) -> DataFrame:
     """Listings whose recorded size and named size, in one common unit, differ by over 3 per cent.
 
-    Sizes of different dimensions (a mass beside a volume) have no common unit and are a
-    conflict too, except that a count beside a mass or volume compares different things.
+    Sizes of different dimensions, a mass beside a volume or a count, have no common unit and
+    are no conflict.
     """
     s = listing_sizes(items)
     both = F.col("recorded_value").isNotNull() & F.col("named_value").isNotNull()
