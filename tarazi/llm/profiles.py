@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarazi.llm.listings import KIND_WORDS, KINDS, brand_tokens, edits, gtin, kind_of, neighbours, size_key, tokens_of, weighed, whole_words
+from tarazi.llm.listings import KIND_WORDS, brand_tokens, edits, gtin, kind_of, neighbours, size_key, tokens_of, weighed, whole_words
 from tarazi.operators.skew import lookup
 from tarazi.session import cut_lineage
 
@@ -176,6 +176,3 @@ def profiles(items: DataFrame, products: DataFrame) -> DataFrame:
     found = got.where(F.col("target").isNotNull()).groupBy("src", "id").agg(F.flatten(F.collect_list(F.array(as_word, as_target))).alias("found"))
     joined = raw.drop("kind").join(found, ["src", "id"], "left").withColumn("found", F.coalesce("found", F.array().cast("array<struct<word:string,target:string,known:boolean,maker:boolean,origin:boolean,variant_of:array<string>>>")))
     return cut_lineage(joined.dropDuplicates(["src", "id"]).mapInPandas(_assemble, PROFILE))
-
-
-assert len(KINDS) < 200
