@@ -15,11 +15,10 @@ from __future__ import annotations
 
 import hashlib
 import re
-import zlib
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,12 +34,15 @@ TAIL = 4
 #: Uses of a context that make it known, and a tail's least share of endings among its own uses and among those of its context.
 KNOWN, END_SHARE, CONTEXT_SHARE = 5, 0.25, 0.02
 
-_MARK = re.compile(r"\s*(?:\.\.+|…)\s*$")
-_PICTURES = re.compile(r"(?:\s*(?:[☀-➿⬀-⯿\U0001f000-\U0001faff️‍]|[:;]-?[)(D]))+\s*$")
+_PICTURE = re.compile(r"[☀-➿⬀-⯿\U0001f000-\U0001faff️‍]")
+_SMILEY = re.compile(r"[:;]-?[)(D]$")
 _CLOSED = re.compile(r"[.!?。！？][\"'”’»)\]]*$")
-_TOKEN = re.compile(r"[^\W_]+(?:[-.,/:][^\W_]+)*|[^\w\s]|_")
+_TOKEN = re.compile(r"[^\W_]+(?:[-.,/:][^\W_]+)*|\n|[^\w\s]|_")
+#: A point that ends a sentence is a token of its own kind, told by the white space after it.
+_STOP = re.compile(r"([.!?])(?=\s|$)")
+_STOPS = {".": "\ue000", "!": "\ue001", "?": "\ue002"}
 _DECIMAL, _HEX, _SIZE = re.compile(r"\d+[.,](\d{1,2})"), re.compile(r"(?=.*\d)[0-9a-f]{6,}"), re.compile(r"\d+(?:[.,]\d+)?([^\W\d_]+)")
-_MEASURE = re.compile(r"\d+(?:[.,]\d+)?\s?([^\W\d_]{1,8})(?![^\W_])")
+_MEASURE = re.compile(r"\d+(?:[.,]\d+)?[ \t\xa0]?([^\W\d_]{1,8})(?![^\W_])")
 _NUMBERED = re.compile(r"\d[.,]?$")
 _LETTER, _NUMBERS = re.compile(r"[^\W\d_]"), re.compile(r"\d+")
 _DIGIT = re.compile(r"\d")
@@ -75,30 +77,68 @@ def _sized(m: re.Match) -> str:
     return "9u" if _is_measure(m[1]) else m[0]
 
 
-def tokens_of(line: str) -> tuple[list[str], list[bool]]:
-    """Patterns of a line after a start mark, and whether each is followed by more of its sentence."""
-    line = _MEASURE.sub(_sized, line)
-    tokens, goes_on, n = ["^"], [True], len(line)
-    for m in _TOKEN.finditer(line):
-        tokens.append(pattern(m[0]))
-        goes_on.append(True)
-        if m[0] in ".!?" and (m.end() == n or line[m.end()].isspace()):
-            goes_on[-1] = goes_on[-2] = False
-    goes_on[-1] = False
-    return tokens, goes_on
+_MASK, _BASE = (1 << 64) - 1, 0x9E3779B97F4A7C15
 
 
-def tail_hash(tokens: list[str], end: int, k: int) -> int:
+@lru_cache(maxsize=200_000)
+def code(token: str) -> int:
+    """64-bit hash of a token's pattern, the same on every worker."""
+    return int.from_bytes(hashlib.blake2b(pattern(token).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+
+
+START = int.from_bytes(hashlib.blake2b(b"line start", digest_size=8).digest(), "little")
+_STOP_CODES = np.array([int.from_bytes(hashlib.blake2b(c.encode(), digest_size=8).digest(), "little") for c in _STOPS.values()], dtype=np.uint64)
+
+
+def codes_of(text: str) -> list[int]:
+    """Codes of the tokens of a text; START stands before each line, once for several line breaks."""
+    marked = _STOP.sub(lambda m: _STOPS[m[1]], _MEASURE.sub(_sized, text))
+    out = [START]
+    for t in _TOKEN.findall(marked):
+        if t != "\n":
+            out.append(code(t))
+        elif out[-1] != START:
+            out.append(START)
+    return out
+
+
+def _mixed(h, k: int):
+    """A tail's hash with its length worked in, as a positive long."""
+    return (h ^ k * 0xD6E8FEB86659FD93 & _MASK) >> 1
+
+
+def tail_hash(codes: list[int], end: int, k: int) -> int:
     """Hash of the k tokens before ``end``, 0 where the line has fewer."""
-    return zlib.crc32(" ".join(tokens[end - k : end]).encode()) | k << 32 if end >= k else 0
+    if end < k or START in codes[end - k + 1 : end]:
+        return 0
+    h = 0
+    for c in codes[end - k : end]:
+        h = (h * _BASE + c) & _MASK
+    return _mixed(h, k)
 
 
 def body_of(text: str) -> tuple[str, bool]:
-    """The text without trailing white space, pictures and mark of omission, and whether it had such a mark."""
-    t = _PICTURES.sub("", text.rstrip()).rstrip() if text else ""
-    t = t or (text or "").rstrip()
-    cut = _MARK.sub("", t)
-    return (cut, True) if cut and cut != t else (t, False)
+    """The text without trailing white space, pictures and mark of omission, and whether it had such a mark.
+
+    Works from the end and reads no more than what it takes off.
+    """
+    whole = (text or "").rstrip()
+    end = len(whole)
+    while end:
+        if whole[end - 1].isspace() or _PICTURE.match(whole[end - 1]):
+            end -= 1
+        elif m := _SMILEY.search(whole[max(0, end - 3) : end]):
+            end -= len(m[0])
+        else:
+            break
+    t = whole[:end] or whole
+    if t.endswith(".."):
+        bare = t.rstrip(".").rstrip()
+    elif t.endswith("…"):
+        bare = t[:-1].rstrip()
+    else:
+        return t, False
+    return (bare, True) if bare else (t, False)
 
 
 def broken_by_itself(line: str) -> bool:
@@ -115,24 +155,44 @@ LAST = "doc_id long, source string, text_hash long, chars int, bytes int, closed
 
 
 def _uses(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Uses of every tail inside the texts: before the end of a line or sentence, or before more of it."""
+    """Uses of every tail inside the texts: before the end of a line or sentence, or before more of it.
+
+    The tokens of a batch are one array; the tails of each length are sums of shifted arrays.
+    """
     for pdf in batches:
-        ends: Counter = Counter()
-        mids: Counter = Counter()
+        codes: list[int] = []
+        lasts: list[int] = []
         for text in pdf["text"]:
-            if not text or not text.strip():
-                continue
-            lines = [x for x in text.rstrip().split("\n") if x.strip()]
-            last = len(lines) - 1
-            for n, line in enumerate(lines):
-                tokens, goes_on = tokens_of(body_of(line)[0] if n == last else line)
-                stop = len(tokens) - (n == last)  # the last token of a text says nothing of what follows it
-                for i in range(1, stop):
-                    where = mids if goes_on[i] else ends
-                    for k in range(1, min(TAIL, i + 1) + 1):
-                        where[tail_hash(tokens, i + 1, k)] += 1
-        keys = list(ends.keys() | mids.keys())
-        yield pd.DataFrame({"tail": keys, "ends": [ends[k] for k in keys], "mids": [mids[k] for k in keys], "finals": [0] * len(keys)})
+            if text and text.strip():
+                codes.extend(codes_of(body_of(text)[0]))
+                lasts.append(len(codes) - 1)
+        found, ended = tail_uses(np.array(codes, dtype=np.uint64), np.array(lasts, dtype=np.int64))
+        keys, at = np.unique(found, return_inverse=True)
+        ends = np.bincount(at, weights=ended, minlength=len(keys)).astype("int64")
+        all_uses = np.bincount(at, minlength=len(keys)).astype("int64")
+        yield pd.DataFrame({"tail": keys.astype("int64"), "ends": ends, "mids": all_uses - ends, "finals": 0})
+
+
+def tail_uses(codes: np.ndarray, lasts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all tails but those at the end of a text, and whether each is followed by an end."""
+    n = len(codes)
+    if not n:
+        return np.zeros(0, np.uint64), np.zeros(0, bool)
+    start, stop = codes == np.uint64(START), np.isin(codes, _STOP_CODES)
+    follows = lambda mask: np.append(mask[1:], True)
+    ended = stop | follows(start) | follows(stop)
+    counted = ~start
+    counted[lasts] = False  # the last token of a text says nothing of what follows it
+    within = np.arange(n) - np.maximum.accumulate(np.where(start, np.arange(n), 0))
+    hashes, flags, h = [], [], np.zeros(n, np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(1, TAIL + 1):
+            h = np.append(np.uint64(0), h[:-1]) * np.uint64(_BASE) + codes if k > 1 else codes.copy()
+            take = counted & (within >= k - 1)
+            mixed = (h ^ np.uint64(k * 0xD6E8FEB86659FD93 & _MASK)) >> np.uint64(1)
+            hashes.append(mixed[take])
+            flags.append(ended[take])
+    return np.concatenate(hashes), np.concatenate(flags)
 
 
 def last_words(text: str) -> tuple:
@@ -145,7 +205,7 @@ def last_words(text: str) -> tuple:
     line = body.split("\n")[-1]
     closed = bool(_CLOSED.search(line))
     stripped = re.sub(r"[.!?。！？][.!?。！？\"'”’»]*$", "", line) if closed else line
-    tokens, _ = tokens_of(stripped)
+    tokens = codes_of(stripped)
     end = len(tokens)
     tails = [tail_hash(tokens, end, k) for k in range(1, TAIL + 1)] + [tail_hash(tokens, end - 1, k) if end - 1 >= k else 0 for k in range(1, TAIL)]
     listed = bool(_TAGS.fullmatch(line)) or bool(_ITEM.match(line)) and end <= 9
