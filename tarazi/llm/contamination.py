@@ -47,16 +47,34 @@ _DECIMAL = re.compile(r"(?<=\d)[.,](?=\d)")
 _WORD = re.compile(r"[^\W_]+")
 
 
+class _Letters(dict):
+    """Code points to what they count as: look-alikes to a Latin letter, combining marks to nothing; filled as letters occur."""
+
+    def __missing__(self, point: int):
+        ch = chr(point)
+        self[point] = out = None if unicodedata.combining(ch) else LOOKALIKES.get(point, point)
+        return out
+
+
+_LETTERS = _Letters()
+
+
 def words_of(text: str | None) -> list[str]:
     """Words without regard to case, punctuation, layout, mark-up and the way characters are written."""
     if not text:
         return []
-    t = html.unescape(text)
+    t = html.unescape(text) if "&" in text else text
     if "\\u" in t:
         t = _ESCAPE.sub(lambda m: chr(int(m[1], 16)), t)
-    t = _BROKEN.sub("", _UNSEEN.sub("", _TAG.sub(" ", t)))
-    t = unicodedata.normalize("NFKD", t.replace("İ", "i").lower())
-    t = "".join(c for c in t if not unicodedata.combining(c)).translate(LOOKALIKES)
+    if "<" in t:
+        t = _TAG.sub(" ", t)
+    if not t.isascii():
+        t = _UNSEEN.sub("", t)
+    t = _BROKEN.sub("", t) if "\n" in t else t
+    if t.isascii():
+        t = t.lower()
+    else:
+        t = unicodedata.normalize("NFKD", t.replace("İ", "i").lower()).translate(_LETTERS)
     return _WORD.findall(_DECIMAL.sub("", t))
 
 
@@ -131,10 +149,10 @@ class Index:
 
     def leaks(self, doc: list[str]) -> Iterator[tuple[int, int, int]]:
         """(item, matched, changed) of every item with a passage in the document."""
-        places = self.places.get
+        places = self.places
         hits: dict[int, list] = defaultdict(list)
-        for k in range(len(doc) - NGRAM + 1):
-            for item, at in places((doc[k], doc[k + 1], doc[k + 2]), ()):
+        for k in [k for k, window in enumerate(zip(*(doc[i:] for i in range(NGRAM)))) if window in places]:
+            for item, at in places[tuple(doc[k : k + NGRAM])]:
                 hits[item].append((k, at))
         for item, found in hits.items():
             words, own = self.words[item], self.own[item]
