@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarazi.llm.listings import KIND_WORDS, brand_tokens, edits, gtin, kind_of, neighbours, size_key, tokens_of, weighed, whole_words
+from tarazi.llm.listings import KIND_WORDS, brand_tokens, edits, gtin, kind_near, kind_of, neighbours, size_key, tokens_of, weighed, whole_words
 from tarazi.operators.skew import lookup
 from tarazi.session import cut_lineage
 
@@ -122,6 +122,8 @@ def _assemble(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             known = lambda w: w in info and info[w]["known"] or w in KIND_WORDS
             words = [target(w) for w in whole_words(tuple(tokens), known)]
             kind, own = kind_of(words)
+            if kind is None:
+                kind, own = kind_near(words)
             variant, maker, origin, extra = set(), set(), set(), []
             for w in words:
                 f = info.get(w)
