@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarazi.llm.listings import KIND_WORDS, brand_tokens, edits, gtin, kind_near, kind_of, neighbours, size_key, tokens_of, weighed, whole_words
+from tarazi.llm.listings import KIND_WORDS, brand_tokens, edits, gtin, kind_of, kinds_near, neighbours, size_key, tokens_of, weighed, whole_words
 from tarazi.operators.skew import lookup
 from tarazi.session import cut_lineage
 
@@ -113,6 +113,22 @@ def _repairs(v: DataFrame, known: DataFrame) -> DataFrame:
     return near.groupBy("word").agg(F.max_by("target", F.struct("target_n", "target")).alias("target"))
 
 
+def _kind(words: list[str], tokens, info: dict) -> tuple[str | None, frozenset]:
+    """The kind that the words name; where none of them is a variant of it, the kind one letter away that has such a variant.
+
+    A misspelling can be near two kinds (``salet``: qalet or salfet), which the variant tells apart.
+    """
+    named = kind_of(words)
+    fits = lambda kind: any(kind in info[w]["variant_of"] for w in words if w in info)
+    if named[0] and fits(named[0]):
+        return named
+    near = kinds_near(dict.fromkeys([*tokens, *words]))
+    fitting = [k for k in near if fits(k[0])]
+    if fitting:
+        return fitting[0]
+    return named if named[0] or len(near) != 1 else near[0]
+
+
 def _assemble(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         rows = []
@@ -121,9 +137,7 @@ def _assemble(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             target = lambda w: info[w]["target"] if w in info else w
             known = lambda w: w in info and info[w]["known"] or w in KIND_WORDS
             words = [target(w) for w in whole_words(tuple(tokens), known)]
-            kind, own = kind_of(words)
-            if kind is None:
-                kind, own = kind_near(words)
+            kind, own = _kind(words, tokens, info)
             variant, maker, origin, extra = set(), set(), set(), []
             for w in words:
                 f = info.get(w)
@@ -131,7 +145,7 @@ def _assemble(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     continue
                 if f is not None and kind in f["variant_of"]:
                     variant.add(w)
-                elif f is not None and f["maker"]:
+                elif f is not None and f["maker"] and w not in KIND_WORDS:
                     maker.add(w)
                 elif f is not None and f["origin"]:
                     origin.add(w)

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from tarazi.llm import duplicates, matching
-from tarazi.llm.listings import edits, fold, gtin, kind_near, kind_of, size_key, snapped, tokens_of, whole_words
+from tarazi.llm.listings import edits, fold, gtin, kind_of, kinds_near, size_key, snapped, tokens_of, whole_words
 from tarazi.llm.profiles import profiles
 
 ITEMS = "id long, name_raw string, brand string, unit_value decimal(12,3), unit_type string, pack int, ean string, kind string"
@@ -95,7 +95,7 @@ def test_empty(spark):
 def test_names():
     assert tokens_of("SÜD 2,5 % 900 ML Xüsusi 3 qatlı") == ("sud", "2.5%", "xususi", "3qatli")
     assert kind_of(("dusbara", "mal", "ati"))[0] == "dumplings" and kind_of(("soyuq", "cay", "yasil"))[0] == "iced_tea" and kind_of(("x",))[0] is None
-    assert kind_near(("salet", "nam"))[0] == "napkins" and kind_near(("dis", "patasi"))[0] == "toothpaste" and kind_near(("xyz",)) == (None, frozenset())
+    assert {k for k, _ in kinds_near(("salet", "nam"))} == {"napkins", "crackers"} and [k for k, _ in kinds_near(("dis", "patasi"))] == ["toothpaste"] and kinds_near(("xyz",)) == []
     assert fold("Kоmpоt") == "kompot"
     assert size_key("a 31.75 oz", None, None, None) == ("900g", 1) and size_key("Alma kq", None, "kg_bulk", 3) == ("bulk", 1) and size_key("6X100 ml", None, None, None) == ("100ml", 6)
     assert str(snapped(Decimal("899.9"))) in ("900", "9E+2")
