@@ -119,11 +119,11 @@ def _kind(words: list[str], tokens, info: dict) -> tuple[str | None, frozenset]:
     A misspelling can be near two kinds (``salet``: qalet or salfet), which the variant tells apart.
     """
     named = kind_of(words)
-    fits = lambda kind: any(kind in info[w]["variant_of"] for w in words if w in info)
-    if named[0] and fits(named[0]):
+    fits = lambda kind, own: any(kind in info[w]["variant_of"] for w in words if w in info and w not in own)
+    if named[0] and fits(*named):
         return named
     near = kinds_near(dict.fromkeys([*tokens, *words]))
-    fitting = [k for k in near if fits(k[0])]
+    fitting = [k for k in near if fits(*k)]
     if fitting:
         return fitting[0]
     return named if named[0] or len(near) != 1 else near[0]
