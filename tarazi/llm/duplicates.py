@@ -79,9 +79,7 @@ def _incidence(pairs: DataFrame, classes: DataFrame) -> DataFrame:
         two = F.array(F.struct(name(x).alias("term"), F.lit(False).alias("shared")), F.struct(name(y).alias("term"), F.lit(False).alias("shared")))
         none = F.filter(one, lambda _: F.lit(False))
         terms.append(F.when(x.isNull() | y.isNull(), none).when(x == y, one).otherwise(two))
-    differ = F.lit(False)
-    for c in ATTRIBUTES:
-        differ = differ | F.coalesce(F.col(f"a_{c}") != F.col(f"b_{c}"), F.lit(False))
+    differ = _differ("a_", "b_")
     return both.select("a", "b", F.xxhash64("a", "b").alias("pair"), differ.alias("differ"), F.concat(*terms).alias("terms"))
 
 
@@ -104,25 +102,83 @@ def reinforce(incidence: DataFrame, rounds: int = ROUNDS, settled: float = SETTL
     return scores
 
 
+def _differ(a: str, b: str) -> Column:
+    """Whether an attribute that both sides state differs; their columns begin with ``a`` and ``b``."""
+    out = F.lit(False)
+    for c in ATTRIBUTES:
+        out = out | F.coalesce(F.col(f"{a}{c}") != F.col(f"{b}{c}"), F.lit(False))
+    return out
+
+
+def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """node and root of the nodes that the links (a, b, score) join: connected components whose members differ in nothing they state.
+
+    ``nodes`` has node, the attributes and n.  In each round every component takes its best link
+    to one that it does not differ from, and joins that one if it ranks higher and joins none
+    itself; of those that join one component, all stay that agree with the best of them in what
+    the component lacks.  The ranks of every other round are hashes, so chains shrink by a share
+    a round.  The best link of all is always taken, so the rounds end when no link is left.
+    """
+    roots = nodes.select("node", *ATTRIBUTES, "n")
+    edges, merged, rounds = links.select("a", "b", "score"), None, 0
+    while True:
+        stated = F.size(F.array_compact(F.array(*[F.col(c).cast("string") for c in ATTRIBUTES]))).alias("stated")
+        place = F.struct(stated, "n", "node")
+        rank = F.struct(stated, F.xxhash64(F.lit(rounds), "node").alias("h"), "node") if rounds % 2 else place
+        side = roots.select(*ATTRIBUTES, "node", place.alias("place"), rank.alias("rank"))
+        left, right = (side.select(F.col("node").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in [*ATTRIBUTES, "place", "rank"]]) for x in "ab")
+        met = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "score").where(F.col("a") != F.col("b")).groupBy("a", "b").agg(F.max("score").alias("score"))
+        edges = cut_lineage(met.join(left, "a").join(right, "b").where(~_differ("a_", "b_")))
+        if edges.isEmpty():
+            break
+        strength = F.struct("score", F.greatest("a_place", "b_place").alias("x"), F.least("a_place", "b_place").alias("y"))
+        ways = [edges.select(F.col(x).alias("node"), F.col(y).alias("to"), strength.alias("strength"), (F.col(f"{y}_rank") > F.col(f"{x}_rank")).alias("joins"), *[F.col(f"{x}_{c}").alias(f"x_{c}") for c in ATTRIBUTES], *[F.col(f"{y}_{c}").alias(f"y_{c}") for c in ATTRIBUTES]) for x, y in ("ab", "ba")]
+        both = ways[0].unionByName(ways[1])
+        taken = both.groupBy("node").agg(F.max_by(F.struct(*[c for c in both.columns if c != "node"]), "strength").alias("t")).select("node", "t.*")
+        taken = cut_lineage(taken)
+        offers = taken.where("joins").join(taken.where(~F.col("joins")).select(F.col("node").alias("to")), "to", "left_semi")
+        gained = offers.groupBy("to").agg(*[F.max_by(f"x_{c}", F.when(F.col(f"x_{c}").isNotNull(), F.struct("strength", "node"))).alias(f"z_{c}") for c in ATTRIBUTES])
+        moves = cut_lineage(offers.join(gained, "to").where(~_differ("x_", "z_")).select("node", "to"))
+        merged = moves if merged is None else merged.unionByName(moves)
+        moved = roots.join(moves, "node", "left").select(F.coalesce("to", "node").alias("node"), *ATTRIBUTES, "n")
+        roots = cut_lineage(moved.groupBy("node").agg(*[F.max(c).alias(c) for c in ATTRIBUTES], F.sum("n").alias("n")))
+        for x in "ab":
+            edges = edges.join(moves.select(F.col("node").alias(x), "to"), x, "left").withColumn(x, F.coalesce("to", x)).drop("to")
+        edges = edges.select("a", "b", "score")
+        rounds += 1
+    if merged is None:
+        return links.select(F.col("a").alias("node"), F.col("a").alias("root")).limit(0)
+    out, span = merged.withColumnRenamed("to", "root"), 1
+    while span < rounds:  # a node moves once, to one that moves in a later round if at all
+        up = out.select(F.col("node").alias("root"), F.col("root").alias("_up"))
+        out = cut_lineage(out.join(up, "root", "left").select("node", F.coalesce("_up", "root").alias("root")))
+        span *= 2
+    return out.unionByName(out.select(F.col("root").alias("node"), "root").distinct())
+
+
 def same_items(profiles: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """id and cluster of every listing; a cluster is the listings of one product.
 
-    Listings that state all attributes form the cluster of their signature once their class is
-    linked to it with a score above the threshold; a class that lacks an attribute joins the
-    best-scored hub that differs in nothing it states, by barcode or as the only fit.  Listings
-    that nothing links stay alone, even if they state the same few attributes.  Exact copies share a class and are never compared.
+    Listings that state all attributes form the cluster of their signature; a class that lacks
+    an attribute joins over every link that scores above the threshold, by barcode or as the
+    only fit, and clusters are the connected components of these links, kept apart where stated
+    attributes differ.  Listings that nothing links stay alone, even if they state the same few
+    attributes.  Exact copies share a class and are never compared.
     """
     listings = profiles.where(F.col("src") == "i").select("id", *ATTRIBUTES, "ean")
     classes = cut_lineage(classes_of(listings))
     incidence = cut_lineage(_incidence(candidate_pairs(classes), classes))
     scores = reinforce(incidence)
     kept = incidence.join(scores, "pair").where((F.col("score") >= threshold) & ~F.col("differ")).select("a", "b", "score")
-    hub = classes.select(F.col("ck").alias("b"), F.coalesce("sg", "ck").alias("to"))
-    best = kept.join(hub, "b").groupBy("a").agg(F.max_by("to", F.struct("score", "to")).alias("to"))
-    # a whole class belongs to its signature: its link to the hub has no differing attribute by construction
+    node = F.coalesce("sg", "ck")
+    nodes = cut_lineage(classes.groupBy(node.alias("node")).agg(*[F.first(c).alias(c) for c in ATTRIBUTES], F.sum("n").alias("n")))
+    links = kept
+    for x in ("a", "b"):
+        links = links.join(classes.select(F.col("ck").alias(x), node.alias("_node")), x).withColumn(x, F.col("_node")).drop("_node")
+    joined = components(nodes, links)
     # without a link only a common barcode makes a group of a class that lacks an attribute
     of_code = F.when(F.col("ean").isNotNull(), F.col("ck"))
-    cluster = classes.join(best, classes.ck == best.a, "left").select("ck", F.coalesce("sg", "to", of_code).alias("cluster"))
+    cluster = classes.withColumn("node", node).join(joined, "node", "left").select("ck", F.coalesce("root", "sg", of_code).alias("cluster"))
     members = listings.select("id", _key(*ATTRIBUTES, "ean").alias("ck"))
     counts = classes.select("ck", "n")
     return lookup(members, cluster.join(counts, "ck").select("ck", "n", "cluster"), "ck", "n", ["id"]).select("id", F.coalesce("cluster", F.concat(F.lit("id"), F.col("id").cast("string"))).alias("cluster"))
