@@ -159,10 +159,9 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
 def same_items(profiles: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """id and cluster of every listing; a cluster is the listings of one product.
 
-    Listings that state all attributes form the cluster of their signature; a class that lacks
-    an attribute joins over every link that scores above the threshold, by barcode or as the
-    only fit, and clusters are the connected components of these links, kept apart where stated
-    attributes differ.  Listings that nothing links stay alone, even if they state the same few
+    Classes join over every link that scores above the threshold: by an equal signature, by
+    barcode or as the only fit.  Clusters are the connected components of these links, kept
+    apart where stated attributes differ; equal signatures alone join nothing.  Listings that nothing links stay alone, even if they state the same few
     attributes.  Exact copies share a class and are never compared.
     """
     listings = profiles.where(F.col("src") == "i").select("id", *ATTRIBUTES, "ean")
@@ -170,15 +169,10 @@ def same_items(profiles: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     incidence = cut_lineage(_incidence(candidate_pairs(classes), classes))
     scores = reinforce(incidence)
     kept = incidence.join(scores, "pair").where((F.col("score") >= threshold) & ~F.col("differ")).select("a", "b", "score")
-    node = F.coalesce("sg", "ck")
-    nodes = cut_lineage(classes.groupBy(node.alias("node")).agg(*[F.first(c).alias(c) for c in ATTRIBUTES], F.sum("n").alias("n")))
-    links = kept
-    for x in ("a", "b"):
-        links = links.join(classes.select(F.col("ck").alias(x), node.alias("_node")), x).withColumn(x, F.col("_node")).drop("_node")
-    joined = components(nodes, links)
-    # without a link only a common barcode makes a group of a class that lacks an attribute
-    of_code = F.when(F.col("ean").isNotNull(), F.col("ck"))
-    cluster = classes.withColumn("node", node).join(joined, "node", "left").select("ck", F.coalesce("root", "sg", of_code).alias("cluster"))
+    joined = components(classes.withColumnRenamed("ck", "node"), kept).withColumnRenamed("node", "ck")
+    # without a link a class is a group of its own if it lacks nothing or has a barcode
+    alone = F.when(F.col("sg").isNotNull() | F.col("ean").isNotNull(), F.col("ck"))
+    cluster = classes.join(joined, "ck", "left").select("ck", F.coalesce("root", alone).alias("cluster"))
     members = listings.select("id", _key(*ATTRIBUTES, "ean").alias("ck"))
     counts = classes.select("ck", "n")
     return lookup(members, cluster.join(counts, "ck").select("ck", "n", "cluster"), "ck", "n", ["id"]).select("id", F.coalesce("cluster", F.concat(F.lit("id"), F.col("id").cast("string"))).alias("cluster"))

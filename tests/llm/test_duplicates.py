@@ -29,3 +29,10 @@ def test_chain(spark, length):
     links = spark.createDataFrame([(f"n{i}", f"n{i + 1}", 0.6 + i / 100) for i in range(length - 1)] + [(f"n{length - 1}", "z", 0.5)], "a string, b string, score double")
     got = {r.node: r.root for r in duplicates.components(nodes, links).collect()}
     assert len({got[f"n{i}"] for i in range(length)}) == 1 and got.get("z", "z") != got["n0"]
+
+
+def test_equal_attributes_join_by_score(spark):
+    # equal in all attributes, but the barcodes differ: a score below 1
+    df = listings(spark, (1, "black", "Dovu", "100g", "E"), (2, "black", "Dovu", "100g", "F"), (3, "black", "Dovu", "100g", "F"))
+    assert groups(duplicates.same_items(df)) == [[1, 2, 3]]
+    assert groups(duplicates.same_items(df, threshold=0.999)) == [[1], [2, 3]]
