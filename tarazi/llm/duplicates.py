@@ -39,13 +39,29 @@ def classes_of(listings: DataFrame) -> DataFrame:
     return keyed.withColumn("sg", F.when(_stated("kind", "variant", "maker", "size"), _key(*ATTRIBUTES)))
 
 
+def _by_code(coded: DataFrame) -> DataFrame:
+    """Pairs of classes of one barcode that differ in nothing both state.
+
+    A class is linked to the largest agreeing class of each set of stated attributes, found by
+    equal values of what both sets state; so at most 16 links a class, and none is refused.
+    """
+    bits = {c: 1 << i for i, c in enumerate(["kind", "variant", "maker", "size"])}
+    mask = sum((F.when(F.col(c).isNotNull(), b).otherwise(0) for c, b in bits.items()), F.lit(0))
+    common = F.col("mine").bitwiseAND(F.col("other"))
+    agreed = F.concat_ws(_SEP, F.col("pack").cast("string"), *[F.when(common.bitwiseAND(F.lit(b)) > 0, F.col(c)).otherwise("\u0000") for c, b in bits.items()])
+    wide = coded.withColumn("mine", mask).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(15)))).where(F.col("mine") != F.col("other"))
+    asked = wide.select(F.col("ck").alias("a"), "n", "ean", "mine", "other", agreed.alias("agreed"))
+    hubs = asked.groupBy("ean", F.col("mine").alias("other"), F.col("other").alias("mine"), "agreed").agg(F.max_by("a", F.struct("n", "a")).alias("b"))
+    return asked.join(hubs, ["ean", "mine", "other", "agreed"]).select("a", "b")
+
+
 def candidate_pairs(classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of class keys, b the hub that a is linked to; at most a few a class.
+    """Pairs (a, b) of class keys, b the hub that a is linked to; a bounded number a class.
 
     Classes of one signature are linked to the largest of them, classes of one barcode to the
-    largest with that barcode, and a class that lacks one attribute to the one signature that
+    largest with that barcode and to those of it that they agree with, and a class that lacks one attribute to the one signature that
     agrees with all it states, if there is just one.  A group thus makes as many pairs as it
-    has classes, never all pairs within it.
+    has classes, or 17 times as many for a barcode, never all pairs within it.
     """
     largest = F.max_by("ck", F.struct("n", "ck"))
     hubs = classes.where(F.col("sg").isNotNull()).groupBy("sg").agg(largest.alias("hub"))
@@ -54,7 +70,7 @@ def candidate_pairs(classes: DataFrame) -> DataFrame:
     signed = coded.groupBy("ean", F.coalesce("sg", "ck").alias("g")).agg(F.sum("n").alias("n"), F.max_by("ck", F.struct("n", "ck")).alias("ck"), F.max(F.col("sg").isNotNull()).alias("whole"))
     code_hubs = signed.groupBy("ean").agg(F.max_by("ck", F.struct("whole", "n", "ck")).alias("hub"))
     by_code = coded.join(code_hubs, "ean").select(F.col("ck").alias("a"), F.col("hub").alias("b"))
-    parts = [by_signature, by_code]
+    parts = [by_signature, by_code, _by_code(coded)]
     for lacking in ("variant", "maker", "size"):
         rest = [c for c in ATTRIBUTES if c != lacking]
         whole = classes.where(F.col("sg").isNotNull()).groupBy(_key(*rest).alias("rk")).agg(F.min("sg").alias("sg"), F.max("sg").alias("other")).where(F.col("sg") == F.col("other"))

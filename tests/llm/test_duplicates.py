@@ -36,3 +36,9 @@ def test_equal_attributes_join_by_score(spark):
     df = listings(spark, (1, "black", "Dovu", "100g", "E"), (2, "black", "Dovu", "100g", "F"), (3, "black", "Dovu", "100g", "F"))
     assert groups(duplicates.same_items(df)) == [[1, 2, 3]]
     assert groups(duplicates.same_items(df, threshold=0.999)) == [[1], [2, 3]]
+
+
+def test_misplaced_hub_of_a_barcode(spark):
+    # 1 is another product with the barcode of 2 to 5; 6 and 7 are a second product with it
+    rows = [(1, "green", "Dovu", "100g", "E"), (2, "black", None, "250g", "E"), (3, "black", None, "250g", "E"), (4, "black", "Zizun", None, "E"), (5, "black", "Zizun", None, "E"), (6, "mint", None, "50g", "E"), (7, "mint", "Fipohe", None, "E")]
+    assert groups(duplicates.same_items(listings(spark, *rows))) == [[1], [2, 3, 4, 5], [6, 7]]
