@@ -1,18 +1,25 @@
 """A matching cascade by waves: barcode, fingerprint, tolerant fingerprint, similar names.
 
 Each wave joins what is still alone to the products of the waves before.  A fingerprint match
-takes one listing a retailer at most.  Similar names meet by their rarest words and equal
-sizes, so no block is compared with itself as a whole.
+takes one listing a retailer at most.  Similar names of equal sizes are all compared, a square of
+at most CHUNK listings at a time; bounds from the letters of names and brands leave few pairs to score.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarazi.functions.scalars import fat_percent, fingerprint, indel_ratio, loose_fingerprint, name_tokens, token_sort_ratio
+from tarazi.functions.scalars import fat_percent, fingerprint, loose_fingerprint, name_tokens, similarity
+from tarazi.operators.skew import lookup
 
-AUTO, REVIEW, MARGIN, RAREST = 0.88, 0.70, 0.04, 2
+AUTO, REVIEW, MARGIN = 0.88, 0.70, 0.04
+#: Rows of one side of a comparison, and the places that letters are counted in.
+CHUNK, LETTERS = 1000, 64
 
 
 def prepared(items: DataFrame) -> DataFrame:
@@ -73,21 +80,66 @@ def resolve(links: DataFrame, rounds: int = 4) -> DataFrame:
     return out
 
 
+def _bound(a: list[str], b: list[str]) -> np.ndarray:
+    """For each pair of two lists a number that the similarity, as a share, is never above: by the letters in common."""
+    def counted(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        out = np.zeros((len(texts), LETTERS), np.int32)
+        for row, text in zip(out, texts):
+            for ch in text:
+                row[ord(ch) % LETTERS] += 1
+        return out, out.sum(1)
+
+    (x, n), (y, m) = counted(a), counted(b)
+    common = np.zeros((len(a), len(b)), np.int32)
+    for k in np.flatnonzero(x.any(0) & y.any(0)):
+        common += np.minimum.outer(x[:, k], y[:, k])
+    return 2 * common / np.maximum(n[:, None] + m[None, :], 1) + (n[:, None] + m[None, :] == 0)
+
+
+@lru_cache(maxsize=100_000)
+def _brand(p: str | None, q: str | None) -> float | None:
+    """1 for similar brands, .6 where one is missing, None where they differ."""
+    return 0.6 if p is None or q is None else 1.0 if similarity(p, q) >= 85 else None
+
+
+def _compared(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The pairs of a square that may score REVIEW: id, product, and the parts of the score."""
+    pdf = pdf.sort_values(["late", "retailer_code", "id"], kind="stable").reset_index(drop=True)
+    pdf["brand"] = pdf["brand"].astype(object).where(pdf["brand"].notna(), None)
+    left, right = pdf[pdf["chunk"] == pdf["i"]], pdf[pdf["chunk"] == pdf["j"]]
+    codes = {c: pd.Series(pd.factorize(pdf[c])[0], pdf.index) for c in ("retailer_code", "category", "brand")}
+    grid = lambda s: (s[left.index].to_numpy()[:, None], s[right.index].to_numpy()[None, :])
+    (r, t), (c, d), (p, q), (f, g) = (grid(x) for x in (codes["retailer_code"], codes["category"], codes["brand"], pdf["fat"]))
+    able = (r != t) & (r >= 0) & (t >= 0) & ((f == g) | (f == "") | (g == ""))
+    if pdf["i"].iloc[0] == pdf["j"].iloc[0]:
+        able &= np.arange(len(left))[:, None] > np.arange(len(right))[None, :]
+    brands = list(pd.factorize(pdf["brand"])[1])
+    near = np.pad(_bound(brands, brands) >= 0.85 - 1e-9, ((0, 1), (0, 1)), constant_values=True)  # -1, the last: no brand
+    able &= near[p, q]
+    least = (REVIEW - 0.0005 - 1e-9 - 0.25 * np.where((p < 0) | (q < 0), 0.6, 1.0) - 0.15 * (c == d)) / 0.60
+    able &= _bound(list(left["name"]), list(right["name"])) >= least
+    out, equal = [], c == d
+    ids, names, makers = pdf["id"].tolist(), pdf["name"].tolist(), pdf["brand"].tolist()
+    for u, v in zip(*np.nonzero(able)):
+        x, y, floor, same = left.index[u], right.index[v], least[u, v], bool(equal[u, v])
+        brand = _brand(makers[x], makers[y])
+        if brand is not None and (name := similarity(names[x], names[y])) / 100 >= floor:
+            out.append((ids[max(x, y)], ids[min(x, y)], name, brand, same))
+    return pd.DataFrame(out, columns=["id", "product", "name", "brand", "same"])
+
+
 def similar(rows: DataFrame) -> DataFrame:
-    """id, product and score of pairs of different retailers with equal sizes and a common rare word, the earlier listing as product.
+    """id, product and score of all pairs of different retailers with equal sizes and a score of REVIEW or more, the earlier listing as product.
 
     A name weighs .60, the brand .25 (.6 of it where one is missing, none where they differ,
-    which excludes the pair) and the category .15; another percentage excludes it too.
+    which excludes the pair) and the category .15; another percentage excludes it too.  A block
+    of equal sizes is compared as a whole, in squares of its chunks; names without words stay out.
     """
-    words = rows.select("id", F.explode("words").alias("word"))
-    spread = words.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    rare = words.join(spread, "word").where(F.col("df") > 1).withColumn("n", F.row_number().over(Window.partitionBy("id").orderBy("df", "word"))).where(F.col("n") <= RAREST).select("id", "word")
-    side = rows.join(rare, "id").select("id", "word", "block", "retailer_code", "fat", "brand", "category", F.array_join("words", " ").alias("name"), "rank")
-    a, b = side.alias("a"), side.alias("b")
-    met = a.join(b, (F.col("a.word") == F.col("b.word")) & (F.col("a.block") == F.col("b.block"))).where((F.col("b.rank") < F.col("a.rank")) & (F.col("a.retailer_code") != F.col("b.retailer_code")))
-    met = met.where((F.col("a.fat") == F.col("b.fat")) | (F.col("a.fat") == "") | (F.col("b.fat") == ""))
-    pairs = met.select(F.col("a.id").alias("id"), F.col("b.id").alias("product"), F.col("a.name").alias("x"), F.col("b.name").alias("y"), F.col("a.brand").alias("p"), F.col("b.brand").alias("q"), F.col("a.category").eqNullSafe(F.col("b.category")).alias("c")).distinct()
-    brand = F.when(F.col("p").isNull() | F.col("q").isNull(), 0.6).when(indel_ratio("p", "q") >= 85, 1.0)
-    scored = pairs.withColumn("_brand", brand).where(F.col("_brand").isNotNull())
-    score = F.round(token_sort_ratio("x", "y") / 100 * 0.60 + F.col("_brand") * 0.25 + F.col("c").cast("double") * 0.15, 3)
-    return scored.select("id", "product", score.alias("score")).where(F.col("score") >= REVIEW)
+    side = rows.where(F.size("words") > 0).select("id", "block", "retailer_code", "fat", "brand", "category", F.array_join(F.array_sort("words"), " ").alias("name"), F.col("rank.a").cast("int").alias("late"))
+    sizes = side.groupBy("block").agg(F.count(F.lit(1)).alias("n")).withColumn("chunks", F.ceil(F.col("n") / CHUNK).cast("int"))
+    chunk = lookup(side, sizes, "block", "n", ["id"]).withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks").cast("int"))
+    spread = chunk.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumn("i", F.least("chunk", "other")).withColumn("j", F.greatest("chunk", "other")).drop("other", "chunks")
+    kind = rows.schema["id"].dataType.simpleString()
+    parts = spread.groupBy("block", "i", "j").applyInPandas(_compared, f"id {kind}, product {kind}, name double, brand double, same boolean")
+    score = F.round(F.col("name") / 100 * 0.60 + F.col("brand") * 0.25 + F.col("same").cast("double") * 0.15, 3)
+    return parts.select("id", "product", score.alias("score")).where(F.col("score") >= REVIEW)
