@@ -10,15 +10,17 @@ threshold whose stated attributes do not differ are clustered.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarazi.operators.skew import lookup
 from tarazi.session import cut_lineage
 
 ATTRIBUTES = ["kind", "variant", "maker", "size", "pack"]
-#: Rounds at most, the largest change of a score that ends them, and the score of a match.
-ROUNDS, SETTLED, THRESHOLD = 8, 0.01, 0.5
+#: The largest change of a score that ends the rounds, and the score of a match.
+SETTLED, THRESHOLD = 0.01, 0.5
+#: Rounds after which scores that have not settled are an error.
+ROUNDS = 100
 _SEP = "\u0001"
 
 
@@ -100,7 +102,7 @@ def _incidence(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def reinforce(incidence: DataFrame, rounds: int = ROUNDS, settled: float = SETTLED) -> DataFrame:
-    """pair and score after the scores and weights have settled."""
+    """pair and score after the scores and weights have settled; an error if they do not within ``rounds``."""
     edges = cut_lineage(incidence.select("pair", F.explode("terms").alias("t")).select("pair", "t.term", "t.shared"))
     scores = edges.select("pair").distinct().withColumn("score", F.lit(1.0))
     for _ in range(rounds):
@@ -114,8 +116,8 @@ def reinforce(incidence: DataFrame, rounds: int = ROUNDS, settled: float = SETTL
         change = fresh.join(scores.withColumnRenamed("score", "before"), "pair").agg(F.max(F.abs(F.col("score") - F.col("before")))).first()[0]
         scores = fresh
         if change is None or change < settled:
-            break
-    return scores
+            return scores
+    raise RuntimeError(f"scores still change by {change} after {rounds} rounds")
 
 
 def _differ(a: str, b: str) -> Column:
@@ -199,8 +201,3 @@ def pairs_of(clusters: DataFrame) -> DataFrame:
     left = clusters.select("cluster", F.col("id").alias("item_a"))
     right = clusters.select("cluster", F.col("id").alias("item_b"))
     return left.join(right, "cluster").where(F.col("item_a") < F.col("item_b")).select("item_a", "item_b").distinct()
-
-
-def copies(clusters: DataFrame) -> DataFrame:
-    """id, cluster and the smallest id of the cluster."""
-    return clusters.withColumn("representative", F.min("id").over(Window.partitionBy("cluster")))

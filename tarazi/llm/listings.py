@@ -9,33 +9,10 @@ from functools import lru_cache
 
 from tarazi.functions.units import _AMOUNT, _MULTI, number, read_unit, recorded_size, size_in_text
 
-# Kinds of goods with their names in Azerbaijani, English and Russian, folded; weak kinds are also variants of others.
-KINDS = {
-    "milk": ["sud", "milk", "молоко"], "ayran": ["ayran", "ayran drink", "аиран"], "sour_cream": ["xama", "sour cream", "сметана"],
-    "cottage_cheese": ["kasmik", "cottage cheese", "творог"], "eggs": ["yumurta", "eggs", "яицо", "яица"], "crackers": ["qalet", "crackers", "галеты"],
-    "toast_bread": ["tost corayi", "toast bread", "тостовыи хлеб"], "chocolate": ["sokolad", "chocolate", "шоколад"], "caramel": ["karamel", "caramel candy", "карамель"],
-    "halva": ["halva", "халва"], "wafers": ["vafli", "wafers", "вафли"], "chips": ["cips", "chips", "чипсы"], "ice_cream": ["dondurma", "ice cream", "мороженое"],
-    "jam": ["murabba", "jam", "варенье"], "pasta": ["makaron", "pasta", "макароны"], "rice": ["duyu", "rice", "рис"], "buckwheat": ["qarabasaq", "buckwheat", "гречка"],
-    "tomato_paste": ["tomat pastasi", "tomato paste", "томатная паста"], "olive_oil": ["zeytun yagi", "olive oil", "оливковое масло"],
-    "iced_tea": ["soyuq cay", "iced tea", "холодныи чаи"], "coffee": ["qahva", "coffee", "кофе"], "mineral_water": ["mineral su", "mineral water", "вода минеральная"],
-    "compote": ["kompot", "compote", "компот"], "washing_powder": ["yuyucu toz", "washing powder", "стиральныи порошок"],
-    "dish_liquid": ["qabyuyan maye", "dish liquid", "средство для посуды"], "napkins": ["salfet", "napkins", "салфетки"], "batteries": ["batareya", "batteries", "батареики"],
-    "liquid_soap": ["maye sabun", "liquid soap", "жидкое мыло"], "toothpaste": ["dis pastasi", "toothpaste", "зубная паста"], "shampoo": ["sampun", "shampoo", "шампунь"],
-    "chicken_legs": ["toyuq budu", "chicken legs", "окорочка"], "sausages": ["sosis", "sausages", "сосиски"], "dumplings": ["dusbara", "dumplings", "пельмени"],
-    "motal_cheese": ["motal pendiri", "motal cheese", "сыр мотал"], "cucumbers": ["xiyar", "cucumbers", "огурцы"], "tomatoes": ["pomidor", "tomatoes", "помидоры"],
-    "pomegranate": ["nar", "pomegranate", "pomegranates", "гранат"], "apples": ["alma", "apples", "яблоки"], "beef": ["mal ati", "beef", "говядина"], "tea": ["cay", "tea", "чаи"],
-}
-WEAK = ("cucumbers", "tomatoes", "pomegranate", "apples", "beef", "tea")
-# Kinds sold by weight, of which a kilogram in the name is the unit of sale and not a size.
-WEIGHED = ("cucumbers", "tomatoes", "pomegranate", "apples", "beef", "motal_cheese")
 # Legal forms and words for no brand.
 NO_BRAND = {"mmc", "asc", "llc", "no", "brand", "nobrand", "none", "yoxdur", "нет", "n", "a"}
 
-_PHRASES = sorted(((k not in WEAK, len(p.split()), k, frozenset(p.split())) for k, ps in KINDS.items() for p in ps), key=lambda x: (not x[0], -x[1], x[2]))
-_WORDS = {k: frozenset(w for p in ps for w in p.split()) for k, ps in KINDS.items()}
-COMPACT = {"".join(p.split()): tuple(p.split()) for ps in KINDS.values() for p in ps if " " in p}
-KIND_WORDS = frozenset(w for _, _, _, ws in _PHRASES for w in ws)
-_TOKEN = re.compile(r"\d+(?:[.,]\d+)?\s*%|\d(?=\s*qatli)\s*qatli|[^\W_]+")
+_TOKEN = re.compile(r"\d+(?:[.,]\d+)?\s*%|(?<![^\W_])\d\s+[^\W\d_]{3,}|[^\W_]+")
 
 
 # Cyrillic letters that look like a Latin one.
@@ -61,7 +38,10 @@ def _spans(name: str) -> str:
 
 @lru_cache(maxsize=8192)
 def tokens_of(name: str | None) -> tuple[str, ...]:
-    """Folded words, percentages and codes of a name, without its size; a word broken by a hyphen is whole again."""
+    """Folded words, percentages and codes of a name, without its size; a word broken by a hyphen is whole again.
+
+    A lone digit belongs to the word after it (``3 qatli``).
+    """
     if not name:
         return ()
     t = fold(_spans(name.replace("×", "x")))
@@ -69,49 +49,15 @@ def tokens_of(name: str | None) -> tuple[str, ...]:
     return tuple(dict.fromkeys(re.sub(r"\s", "", x).replace(",", ".") for x in _TOKEN.findall(t)))
 
 
-def kind_of(tokens) -> tuple[str | None, frozenset]:
-    """The kind of goods and the words of all its names; a kind that is also a variant of others gives way to them."""
-    have = set(tokens)
-    for _, _, kind, words in _PHRASES:
-        if words <= have:
-            return kind, _WORDS[kind]
-    return None, frozenset()
-
-
-def kinds_near(tokens) -> list[tuple[str, frozenset]]:
-    """Kinds whose name, with one letter wrong in a word of four letters or more, is among the tokens, each with the words that make it up."""
-    out = {}
-    for _, _, kind, words in _PHRASES:
-        used = set()
-        for word in words:
-            near = next((t for t in tokens if t == word or len(word) >= 4 and t.isalpha() and edits(t, word, 1) <= 1), None)
-            if near is None:
-                break
-            used.add(near)
-        else:
-            out.setdefault(kind, frozenset(used) | _WORDS[kind])
-    return list(out.items())
-
-
 def whole_words(tokens, known) -> tuple[str, ...]:
-    """Tokens with words put together that a stray blank broke, and kinds whose blank moved or that lack a letter.
-
-    ``known`` tells whether a word belongs to the vocabulary.
-    """
+    """Tokens with words put together that a stray blank broke; ``known`` tells whether a word belongs to the vocabulary."""
     out, i = [], 0
     while i < len(tokens):
         a, b = tokens[i], tokens[i + 1] if i + 1 < len(tokens) else None
-        if b and a.isalpha() and b.isalpha() and not (known(a) and known(b)):
-            both = a + b
-            if known(both):
-                out.append(both)
-                i += 2
-                continue
-            phrase = COMPACT.get(both) or next((COMPACT[c] for c in COMPACT if abs(len(c) - len(both)) < 2 and len(both) > 6 and edits(c, both, 1) <= 1), None)
-            if phrase:
-                out.extend(phrase)
-                i += 2
-                continue
+        if b and a.isalpha() and b.isalpha() and not (known(a) and known(b)) and known(a + b):
+            out.append(a + b)
+            i += 2
+            continue
         out.append(a)
         i += 1
     return tuple(dict.fromkeys(out))
@@ -141,10 +87,6 @@ def size_key(name: str | None, value, unit: str | None, pack) -> tuple[str | Non
     return f"{snapped(Decimal(got[0])):f}{got[1]}", pieces
 
 
-def weighed(kind: str | None, size: str | None) -> str | None:
-    return "bulk" if kind in WEIGHED and size in (None, "1000g", "bulk") else size
-
-
 def gtin(ean: str | None) -> str | None:
     """A well-formed global barcode without outer blanks and leading zeros, None for in-store, malformed and missing ones."""
     if not ean:
@@ -178,4 +120,4 @@ def neighbours(word: str) -> set[str]:
     return {word} | {word[:i] + word[i + 1 :] for i in range(len(word))}
 
 
-__all__ = ["KINDS", "KIND_WORDS", "brand_tokens", "edits", "fold", "gtin", "kind_of", "kinds_near", "neighbours", "number", "size_key", "snapped", "tokens_of", "whole_words"]
+__all__ = ["brand_tokens", "edits", "fold", "gtin", "neighbours", "number", "size_key", "snapped", "tokens_of", "whole_words"]

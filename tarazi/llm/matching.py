@@ -19,12 +19,14 @@ from tarazi.session import cut_lineage
 
 #: Hash functions of a signature, one a band: a pair that shares a fifth of its shingles is missed once in 200.
 HASHES = 24
+#: Scores at which the calibration counts one case as likely as the score says.
+ANCHORS = range(-6, 7)
 #: Labelled pairs that the classifier is fitted on at most; half of them for the fit, half for the calibration.
 LABELLED_PAIRS = 20_000
 #: A candidate is accepted from this probability on, if the next one is so much less likely.
 ACCEPT, MARGIN = 0.5, 0.02
 FEATURES = ["variant_same", "variant_unknown", "maker_same", "maker_unknown", "size_same", "size_unknown", "pack_same", "ean_same", "ean_differs"]
-#: Weights where there are no decisions to learn from, in the order of FEATURES, then the intercept.
+#: Weights that the fit starts from and is drawn to, in the order of FEATURES, then the intercept.
 PRIOR = [4.0, 1.0, 4.0, 1.0, 3.0, 1.0, 2.0, 4.0, -1.0, -9.0]
 
 
@@ -68,23 +70,26 @@ def featured(pairs: DataFrame, classes: DataFrame, products: DataFrame) -> DataF
     return both.select("ck", "product_id", *[feature[f].cast("double").alias(f) for f in FEATURES], differs.alias("differs"))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, steps: int = 50) -> np.ndarray:
-    """Weights and intercept of a logistic regression by Newton's method."""
+def fit_logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray, penalty: float = 1.0, steps: int = 50) -> np.ndarray:
+    """Weights and intercept of a logistic regression by Newton's method, penalised by their distance from ``prior``."""
     z = np.hstack([x, np.ones((len(x), 1))])
-    w = np.zeros(z.shape[1])
-    ridge = penalty * np.eye(len(w))
-    ridge[-1, -1] = 1e-6
+    w = np.array(prior, float)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        step = np.linalg.solve((z * (p * (1 - p) + 1e-9)[:, None]).T @ z + ridge, z.T @ (y - p) - ridge @ w)
+        step = np.linalg.solve((z * (p * (1 - p) + 1e-9)[:, None]).T @ z + penalty * np.eye(len(w)), z.T @ (y - p) - penalty * (w - prior))
         w += step
         if np.abs(step).max() < 1e-8:
             break
     return w
 
 
-def fit_isotonic(score: np.ndarray, y: np.ndarray) -> list[tuple[float, float]]:
-    """(lowest score, probability) of the steps of the non-decreasing function nearest to the outcomes, one step smoothed in each."""
+def fit_isotonic(score: np.ndarray, y: np.ndarray, anchors=ANCHORS) -> list[tuple[float, float]]:
+    """(lowest score, probability) of the steps of the non-decreasing function nearest to the outcomes, one step smoothed in each.
+
+    Each anchor is a case that came true as far as its score says, so that few outcomes move the steps little.
+    """
+    at = np.array(list(anchors), float)
+    score, y = np.concatenate([score, at]), np.concatenate([y, 1 / (1 + np.exp(-at))])
     order = np.argsort(score, kind="stable")
     blocks: list[list[float]] = []
     for s, v in zip(score[order], y[order]):
@@ -120,8 +125,8 @@ def train(pairs: DataFrame, members: DataFrame, decisions: DataFrame, bound: int
 
     A decision counts where one of the listing's candidates is the decided product; one that
     agrees with no candidate says nothing of them.  At most ``bound`` labelled pairs, taken in
-    the order of a hash of their listing, come to the driver.  With fewer than 40 pairs, or
-    labels of one kind only, the weights are the prior ones and the scores stay as they are.
+    the order of a hash of their listing, come to the driver.  Few or no labels leave the weights
+    near the prior ones.
     """
     labels = weak_labels(decisions).join(members.select(F.col("id").alias("store_item_id"), "ck"), "store_item_id")
     labelled = labels.join(pairs, "ck").withColumn("label", (F.col("decided") == F.col("product_id")).cast("double"))
@@ -129,16 +134,12 @@ def train(pairs: DataFrame, members: DataFrame, decisions: DataFrame, bound: int
     taken = labelled.join(useful, "store_item_id", "left_semi").select(F.xxhash64("store_item_id").alias("h"), *FEATURES, "label").orderBy("h").limit(bound).toPandas()
     x, y, h = taken[FEATURES].to_numpy(float), taken["label"].to_numpy(float), taken["h"].to_numpy()
     first = (h % 2 == 0) if len(h) else np.zeros(0, bool)
-    if len(y) < 40 or len(set(y[first])) < 2 or len(set(y[~first])) < 2:
-        return PRIOR, []
-    w = fit_logistic(x[first], y[first])
+    w = fit_logistic(x[first], y[first], np.array(PRIOR))
     return [float(v) for v in w], fit_isotonic(x[~first] @ w[:-1] + w[-1], y[~first])
 
 
 def probability(weights: list[float], steps: list[tuple[float, float]]) -> Column:
     score = reduce(lambda a, b: a + b, [F.col(f) * w for f, w in zip(FEATURES, weights)], F.lit(weights[-1]))
-    if not steps:
-        return 1 / (1 + F.exp(-score))
     levels = F.array(*[F.struct(F.lit(low - 1e-9).alias("low"), F.lit(p).alias("p")) for low, p in steps])
     reached = F.filter(levels, lambda s: s["low"] <= score)
     return F.coalesce(F.try_element_at(reached, F.lit(-1))["p"], F.lit(steps[0][1]))

@@ -1,9 +1,7 @@
 """Listings and registered products as attributes: kind, variant, maker, size of a piece, pieces, barcode.
 
-Words are told apart by statistics over all rows of both tables: a word of the registry that
-many makers share within one kind is part of a variant, a word of the brand columns is a
-maker, a rare word one edit from a much more frequent one is that word, and a word spread over
-many kinds that the registry never uses is an extra marketing word.
+The kind is the most usual goods word of a name with those that it implies, the variant its
+other goods words; see ``vocabulary`` for how words are told apart.
 """
 
 from __future__ import annotations
@@ -14,19 +12,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarazi.llm.listings import KIND_WORDS, brand_tokens, edits, gtin, kind_of, kinds_near, neighbours, size_key, tokens_of, weighed, whole_words
+from tarazi.llm.listings import brand_tokens, gtin, size_key, tokens_of, whole_words
+from tarazi.llm.vocabulary import GOODS, kind_in, roles_of
 from tarazi.operators.skew import lookup
 from tarazi.session import cut_lineage
 
-#: A registry word is a variant of its kind if it has this share of the kind's products and so many different companions.
-VARIANT_SHARE, VARIANT_COMPANIONS = 0.08, 4
-#: A word is a misspelling of one that is so many times as frequent.
-REPAIR_RATIO = 3
-#: An unknown word that occurs so often, and in no more kinds than this, is a maker or origin where the row states no other.
-MAKER_COUNT, MAKER_KINDS = 3, 4
-
-RAW = "src string, id long, tokens array<string>, brand array<string>, size string, pack int, ean string, kind string"
+RAW = "src string, id long, tokens array<string>, brand array<string>, size string, pack int, ean string"
 PROFILE = "src string, id long, kind string, variant string, maker string, size string, pack int, ean string, extra array<string>"
+ROLE = f"array<struct<word:string,known:boolean,target:string,n:bigint,goods:{GOODS},maker:boolean,origin:boolean>>"
 
 
 def _read(src: str, name: str):
@@ -34,161 +27,90 @@ def _read(src: str, name: str):
         for pdf in batches:
             rows = []
             for i, n, b, v, u, pk, e in zip(pdf["id"], pdf[name], pdf["brand"], pdf["unit_value"], pdf["unit_type"], pdf["pack"], pdf["ean"]):
-                tokens = tokens_of(n)
                 size, pack = size_key(n, v, u, pk)
-                rows.append((src, i, list(tokens), list(brand_tokens(b)), size, min(pack, 2**31 - 1), gtin(e), kind_of(tokens)[0]))
-            yield pd.DataFrame(rows, columns=["src", "id", "tokens", "brand", "size", "pack", "ean", "kind"])
+                rows.append((src, i, list(tokens_of(n)), list(brand_tokens(b)), size, min(pack, 2**31 - 1), gtin(e)))
+            yield pd.DataFrame(rows, columns=["src", "id", "tokens", "brand", "size", "pack", "ean"])
 
     return read
 
 
-def raw_terms(items: DataFrame | None, products: DataFrame) -> DataFrame:
-    """Tokens and sizes of listings (src ``i``) and registered products (src ``p``), before words are told apart."""
-    parts = [products.select("id", "name", "brand", "unit_value", "unit_type", "pack", "ean").mapInPandas(_read("p", "name"), RAW)]
-    if items is not None:
-        parts.append(items.select("id", "name_raw", "brand", "unit_value", "unit_type", "pack", "ean").mapInPandas(_read("i", "name_raw"), RAW))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def _vocabulary(raw: DataFrame) -> DataFrame:
-    """Every word: n rows, n_kinds, whether a brand column or the registry has it, and the kinds that it is a variant of."""
-    words = raw.select("src", "kind", F.explode("tokens").alias("word"))
-    spread = words.groupBy("word", "kind").agg(F.count(F.lit(1)).alias("n"), F.max((F.col("src") == "p").cast("int")).alias("registered"))
-    spread = spread.groupBy("word").agg(F.sum("n").alias("n"), F.count("kind").alias("n_kinds"), F.max("registered").alias("registered"))
-    brands = raw.select(F.explode("brand").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n_brand"))
-    registry = raw.where((F.col("src") == "p") & F.col("kind").isNotNull())
-    totals = registry.groupBy("kind").agg(F.count(F.lit(1)).alias("total"))
-    own = registry.select("kind", "id", F.explode("tokens").alias("word"), "tokens")
-    companions = own.groupBy("kind", "word").agg(
-        F.countDistinct("id").alias("products"), F.approx_count_distinct(F.hash("tokens")).alias("contexts")
-    )
-    variants = (
-        companions.join(totals, "kind")
-        .where((F.col("products") >= 2) & (F.col("products") >= VARIANT_SHARE * F.col("total")) & (F.col("contexts") >= VARIANT_COMPANIONS))
-        .join(brands.select("word"), "word", "left_anti")
-        .groupBy("word")
-        .agg(F.sort_array(F.collect_set("kind")).alias("variant_of"))
-    )
-    full = spread.join(brands, "word", "full_outer").join(variants, "word", "left")
-    return full.select(
-        "word",
-        F.coalesce("n", "n_brand").alias("n"),
-        F.coalesce("n_kinds", F.lit(0)).alias("n_kinds"),
-        (F.coalesce("registered", F.lit(0)) == 1).alias("registered"),
-        F.col("n_brand").isNotNull().alias("branded"),
-        F.coalesce("variant_of", F.array().cast("array<string>")).alias("variant_of"),
-    )
-
-
-def _known(v: DataFrame) -> DataFrame:
-    words = v.where(F.col("registered") | F.col("branded")).select("word", "n")
-    fixed = v.sparkSession.createDataFrame([(w,) for w in sorted(KIND_WORDS)], "word string").join(v.select("word", "n"), "word", "left").select("word", F.coalesce("n", F.lit(1).cast("long")).alias("n"))
-    return words.unionByName(fixed).groupBy("word").agg(F.max("n").alias("n"))
-
-
-def _keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        rows = [(w, n, k) for w, n in zip(pdf["word"], pdf["n"]) if len(w) >= 4 and w.isalpha() for k in neighbours(w)]
-        yield pd.DataFrame(rows, columns=["word", "n", "near"])
-
-
-def _close(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        yield pdf[[edits(a, b, 1) <= 1 for a, b in zip(pdf["word"], pdf["target"])]]
-
-
-def _repairs(v: DataFrame, known: DataFrame) -> DataFrame:
-    """word and target of every unknown word that is one edit from a word REPAIR_RATIO times as frequent.
-
-    Words meet by what is left of them without one letter, so no pairs of all words arise.
-    """
-    keys = "word string, n long, near string"
-    strange = v.join(known.select("word"), "word", "left_anti").select("word", "n").mapInPandas(_keys, keys)
-    targets = known.select("word", "n").mapInPandas(_keys, keys).select(F.col("word").alias("target"), F.col("n").alias("target_n"), "near")
-    met = strange.join(targets, "near").where(F.col("target_n") >= REPAIR_RATIO * F.col("n")).select("word", "target", "target_n").distinct()
-    near = met.mapInPandas(_close, "word string, target string, target_n long")
-    return near.groupBy("word").agg(F.max_by("target", F.struct("target_n", "target")).alias("target"))
+def raw_terms(items: DataFrame, products: DataFrame) -> DataFrame:
+    """Tokens and sizes of listings (src ``i``) and registered products (src ``p``), before words are told apart; repeated rows once."""
+    columns = ["brand", "unit_value", "unit_type", "pack", "ean"]
+    registered = products.select("id", "name", *columns).mapInPandas(_read("p", "name"), RAW)
+    return registered.unionByName(items.select("id", "name_raw", *columns).mapInPandas(_read("i", "name_raw"), RAW)).dropDuplicates(["src", "id"])
 
 
-def _kind(words: list[str], tokens, info: dict) -> tuple[str | None, frozenset]:
-    """The kind that the words name; where none of them is a variant of it, the kind one letter away that has such a variant.
+def _goods(words: list[str], info: dict) -> tuple[dict, set]:
+    """The goods words that the words of a name stand for, each with what is known of it, and the words that named them.
 
-    A misspelling can be near two kinds (``salet``: qalet or salfet), which the variant tells apart.
+    A misspelling that is near several words is the first of them that has been seen with
+    another goods word of the name.  Goods words that were never seen with any other of the
+    name are left out, if others were.
     """
-    named = kind_of(words)
-    fits = lambda kind, own: any(kind in info[w]["variant_of"] for w in words if w in info and w not in own)
-    if named[0] and fits(*named):
-        return named
-    near = kinds_near(dict.fromkeys([*tokens, *words]))
-    fitting = [k for k in near if fits(*k)]
-    if fitting:
-        return fitting[0]
-    return named if named[0] or len(near) != 1 else near[0]
+    sure = {g["g"] for w in words if w in info and len(info[w]) == 1 for g in info[w][0]["goods"]}
+    found: dict = {}
+    used = set()
+    for w in words:
+        ways = info.get(w, ())
+        way = next((r for r in ways if len(ways) > 1 and any(m in sure for g in r["goods"] for m in g["mates"])), ways[0] if ways else None)
+        if way is not None and len(way["goods"]):
+            used.add(w)
+            found.update({g["g"]: g for g in way["goods"]})
+    seen = {g: x for g, x in found.items() if any(o != g and o in found for o in x["mates"])}
+    return seen or found, used
 
 
 def _assemble(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         rows = []
         for src, i, tokens, brand, size, pack, ean, found in zip(*(pdf[c] for c in ("src", "id", "tokens", "brand", "size", "pack", "ean", "found"))):
-            info = {f["word"]: f for f in found if f["target"] is not None}
-            target = lambda w: info[w]["target"] if w in info else w
-            known = lambda w: w in info and info[w]["known"] or w in KIND_WORDS
-            words = [target(w) for w in whole_words(tuple(tokens), known)]
-            kind, own = _kind(words, tokens, info)
-            variant, maker, origin, extra = set(), set(), set(), []
+            info: dict = {}
+            for f in sorted(found, key=lambda f: (-f["n"], f["target"])):
+                info.setdefault(f["word"], []).append(f)
+            known = lambda w: w in info and info[w][0]["known"]
+            words = whole_words(tuple(tokens), known)
+            goods, used = _goods(words, info)
+            kind, named = kind_in(goods), set(goods) | {o["g"] for x in goods.values() for o in x["implied"]}
+            whole = goods and all(o in kind for g in kind if g in goods for o in goods[g]["mates"])  # the registry knows no variants of it
+            variant = " ".join(sorted(named - kind)) or ("" if whole else None)
+            maker, origin, extra = set(), set(), []
             for w in words:
-                f = info.get(w)
-                if w in own:
+                way = info[w][0] if w in info else None
+                if w in used:
                     continue
-                if f is not None and kind in f["variant_of"]:
-                    variant.add(w)
-                elif f is not None and f["maker"] and w not in KIND_WORDS:
-                    maker.add(w)
-                elif f is not None and f["origin"]:
+                if way is not None and way["maker"]:
+                    maker.add(way["target"])
+                elif way is not None and way["origin"]:
                     origin.add(w)
                 else:
                     extra.append(w)
-            maker = maker or {target(w) for w in brand}
+            maker = maker or {info[w][0]["target"] if w in info else w for w in brand}
             extra += sorted(origin) if maker else []
             maker = maker or origin
-            rows.append((src, i, kind, " ".join(sorted(variant)) or None, " ".join(sorted(maker)) or None, weighed(kind, size), 1 if weighed(kind, size) == "bulk" else pack, ean, extra))
+            if size in (None, "1000g", "bulk") and any(x["weighed"] or any(o in named for o in x["weighed_with"]) for x in goods.values()):
+                size, pack = "bulk", 1
+            rows.append((src, i, " ".join(sorted(kind)) or None, variant, " ".join(sorted(maker)) or None, size, pack, ean, extra))
         yield pd.DataFrame(rows, columns=["src", "id", "kind", "variant", "maker", "size", "pack", "ean", "extra"])
 
 
-def profiles(items: DataFrame, products: DataFrame) -> DataFrame:
+def profiles(items: DataFrame, products: DataFrame, decisions: DataFrame | None = None) -> DataFrame:
     """src, id, kind, variant, maker, size, pack, ean and extra words of every listing and product.
 
-    Attributes that a row does not state are null (pack 1).  Null and empty names have no
+    Attributes that a row does not state are null (pack 1); the variant of a kind that has none
+    is empty.  Null and empty names have no
     words; a brand column stands in for a maker that the name lacks.  Repeated rows come out
-    once.  Words are joined by shuffle, as the vocabulary grows with the data.
+    once.  Words are joined by shuffle, as the vocabulary grows with the data.  Past decisions,
+    if given, add links from which names in other languages are learned.
     """
     raw = cut_lineage(raw_terms(items, products))
-    v = cut_lineage(_vocabulary(raw))
-    known = cut_lineage(_known(v))
-    repairs = _repairs(v, known)
-    role = v.join(known.select("word", F.lit(True).alias("known")), "word", "left").join(repairs, "word", "left")
-    role = role.select("word", F.coalesce("target", "word").alias("target"), "n", "n_kinds", "registered", "branded", "variant_of", F.coalesce("known", F.lit(False)).alias("known"))
-    role = cut_lineage(role)
-    of_target = role.select(F.col("word").alias("target"), F.struct("n", "n_kinds", "registered", "branded", "variant_of").alias("t"))
-    # a word that is only a kind's word may be missing from the rows as such, so the target's own row is optional
-    roles = role.select("word", "target", "known").join(of_target, "target", "left")
-    alpha = F.col("word").rlike(r"^\p{L}{4,}$")
-    unknown_maker = ~F.col("known") & alpha & (F.col("t.n") >= MAKER_COUNT) & (F.col("t.n_kinds") <= MAKER_KINDS) & (F.col("t.n_kinds") >= 1)
-    variant_of = F.coalesce(F.col("t.variant_of"), F.array().cast("array<string>"))
-    maker = F.coalesce(F.col("t.branded"), F.lit(False)) | (F.coalesce(F.col("t.registered"), F.lit(False)) & (F.size(variant_of) == 0))
-    roles = roles.select("word", "target", "known", maker.alias("maker"), F.coalesce(unknown_maker, F.lit(False)).alias("origin"), variant_of.alias("variant_of"))
+    roles = roles_of(raw, decisions)
+    by_word = roles.groupBy("word").agg(F.collect_list(F.struct("word", "known", "target", "n", "goods", "maker", "origin")).alias("ways"))
     pairs = F.transform(F.sequence(F.lit(0), F.greatest(F.size("tokens") - 2, F.lit(0))), lambda i: F.concat(F.get("tokens", i), F.get("tokens", i + 1)))
     pairs = F.filter(pairs, lambda w: w.isNotNull())
     wanted = raw.select("src", "id", F.explode(F.array_distinct(F.concat("tokens", pairs, "brand"))).alias("word"))
-    # a repaired word is looked up as itself too, for the roles of its target
     counts = wanted.groupBy("word").agg(F.count(F.lit(1)).alias("_n"))
-    info = counts.join(roles, "word")
-    got = lookup(wanted, info, "word", "_n", ["id", "word"])
-    as_target = F.struct(F.col("target").alias("word"), "target", "known", "maker", "origin", "variant_of")
-    as_word = F.struct("word", "target", "known", "maker", "origin", "variant_of")
-    found = got.where(F.col("target").isNotNull()).groupBy("src", "id").agg(F.flatten(F.collect_list(F.array(as_word, as_target))).alias("found"))
-    joined = raw.drop("kind").join(found, ["src", "id"], "left").withColumn("found", F.coalesce("found", F.array().cast("array<struct<word:string,target:string,known:boolean,maker:boolean,origin:boolean,variant_of:array<string>>>")))
-    return cut_lineage(joined.dropDuplicates(["src", "id"]).mapInPandas(_assemble, PROFILE))
+    got = lookup(wanted, counts.join(by_word, "word"), "word", "_n", ["id", "word"])
+    found = got.where(F.col("ways").isNotNull()).groupBy("src", "id").agg(F.flatten(F.collect_list("ways")).alias("found"))
+    joined = raw.join(found, ["src", "id"], "left").withColumn("found", F.coalesce("found", F.array().cast(ROLE)))
+    return cut_lineage(joined.mapInPandas(_assemble, PROFILE))

@@ -13,7 +13,8 @@ from tarazi.sources.records import table
 def _profiles(spark: SparkSession, folder: str) -> DataFrame:
     items = table(spark, folder, "store_item", "id", "name_raw", "brand", "unit_value", "unit_type", "pack", "ean")
     products = table(spark, folder, "product", "id", "name", "brand", "unit_value", "unit_type", "pack", "ean")
-    return profiles(items, products)
+    decisions = table(spark, folder, "product_match_snap", "store_item_id", "product_id", "snapshot_date", "loaded_at")
+    return profiles(items, products, decisions)
 
 
 def p5_matches(spark: SparkSession, folder: str) -> DataFrame:
