@@ -7,9 +7,9 @@ from __future__ import annotations
 
 import csv
 import json
+import sys
 from decimal import Decimal
 
-from tarazi.functions.instants import readings
 from tarazi.functions.units import money_in_text
 
 #: Paths of the fields that are read, by source.  A CSV source has positions.
@@ -29,6 +29,11 @@ CSV_FIELDS = 9
 BLANK = " \t\r\n\v\f\x1c\x1d\x1e\x1f\x85\xa0                　​‌‍⁠﻿"
 
 
+#: The largest amount that a column holds.
+MOST = 2**63 - 1
+csv.field_size_limit(sys.maxsize)  # a long field is no broken one
+
+
 class Malformed(ValueError):
     """A structural failure; its text is the reason."""
 
@@ -130,7 +135,7 @@ def parse_payload(source: str | None, payload: str | None) -> tuple:
     ``error`` is null for a record whose structure and typed fields are right, else the first
     reason: malformed_json, not_an_object, broken_quoting, several_records, empty_record,
     field_count:N, missing_object or missing_field:NAME, unknown_source, missing_payload,
-    missing_sku, missing_name, missing_price, invalid_price, nonpositive_price.  Times and
+    missing_sku, missing_name, missing_price, invalid_price, nonpositive_price, amount_out_of_range.  Times and
     store codes are checked against other tables by the operator.
     """
     out: dict = dict.fromkeys(COLUMNS)
@@ -166,6 +171,8 @@ def parse_payload(source: str | None, payload: str | None) -> tuple:
             raise Malformed("invalid_price")
         if out["price_qepik"] <= 0:
             raise Malformed("nonpositive_price")
+        if out["price_qepik"] > MOST or abs(out["old_price_qepik"] or 0) > MOST:
+            raise Malformed("amount_out_of_range")
     except Malformed as e:
         out["error"] = str(e)
     return tuple(out[c] for c in COLUMNS)
@@ -180,7 +187,3 @@ def _available(source: str, value) -> bool | None:
     if source == "caspianmart":
         return isinstance(value, Decimal) and value > 0
     return bool(value)
-
-
-def time_candidates(text: str | None, zone: str | None) -> list[int]:
-    return readings(text, zone) if text else []

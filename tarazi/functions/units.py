@@ -11,7 +11,7 @@ qepik in a price.  Results are scaled to the base units g, ml, pcs and qepik.
 from __future__ import annotations
 
 import re
-from decimal import ROUND_HALF_UP, Decimal, InvalidOperation
+from decimal import ROUND_HALF_UP, Decimal, InvalidOperation, localcontext
 from functools import lru_cache
 from typing import NamedTuple
 
@@ -124,7 +124,7 @@ def read_unit(text: str, field: str = "size") -> Unit | None:
     if not text:
         return None
     s = re.sub(r"[\s ]+", "", fold(text)).strip(".,-–_")
-    if not s or len(s) > 24:
+    if not s:
         return None
     if _LATIN.search(s):
         s = s.translate(LOOKALIKES)
@@ -166,11 +166,38 @@ def _keep(best: dict, key: tuple, value: tuple) -> None:
 BASE = {"mass": "g", "volume": "ml", "count": "pcs"}
 _NUM = r"\d+(?:[.,]\d+)?"
 _LETTERS = r"[^\W\d_]+"
-_MULTI = re.compile(rf"(?<![\w.,])(\d{{1,3}})\s*[xх*×]\s*({_NUM})\s*(fl\.?\s*oz|{_LETTERS})(?:[23²³]\b)?", re.I)
+_MULTI = re.compile(rf"(?<![\w.,])(\d+)\s*[xх*×]\s*({_NUM})\s*(fl\.?\s*oz|{_LETTERS})(?:[23²³]\b)?", re.I)
 _AMOUNT = re.compile(rf"(?<![\w.,])({_NUM})\s*-?\s*(fl\.?\s*oz|{_LETTERS}[²³]?)", re.I)
 _PACK_SUFFIX = re.compile(r"^(lu|lü|lı|li|luq|lıq|pk)$")
 
 
+_CHAIN = re.compile(rf"{_NUM}((?:\s*[xх×]\s*{_NUM})+)\s*({_LETTERS})?", re.I)
+
+
+def bare_of_dimensions(name: str) -> str:
+    """A name without lengths joined by x: three numbers or more, or two with a unit of length."""
+    def gone(m: re.Match) -> str:
+        unit = read_unit(m[2]) if m[2] else None
+        return " " if len(re.findall(_NUM, m[1])) > 1 or unit is not None and unit.dimension == "length" else m[0]
+
+    return _CHAIN.sub(gone, name)
+
+
+def bare_of_sizes(name: str) -> str:
+    """A name without its sizes and numbers of pieces."""
+    def gone(m: re.Match) -> str:
+        unit = read_unit(m[m.lastindex])
+        return " " if unit is not None and unit.dimension in BASE else m[0]
+
+    return _AMOUNT.sub(gone, _MULTI.sub(gone, name))
+
+
+def is_bare_kilogram(word: str) -> bool:
+    """Whether a word is the unit of goods sold by weight."""
+    unit = read_unit(word)
+    return unit is not None and unit.dimension == "mass" and unit.scale == 1000
+
+
 class Size(NamedTuple):
     """A size of one piece in a base unit (g, ml, pcs) and the number of pieces."""
 
@@ -245,8 +272,14 @@ def money_in_text(text: str, default_unit: str = "azn") -> int | None:
     that are malformed (``1.2.3``) give None.
     """
     s = text.strip()
-    if not s or len(s) > 64:
+    if not s:
         return None
+    with localcontext() as context:
+        context.prec = max(context.prec, len(s) + 10)  # all digits count, however many
+        return _money(s, default_unit)
+
+
+def _money(s: str, default_unit: str) -> int | None:
     numbers: list = []
     marks: list = []
     pos = 0

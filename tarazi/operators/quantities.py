@@ -41,7 +41,8 @@ def listing_sizes(items: DataFrame) -> DataFrame:
 
     Reads id, unit_value, unit_type and name_raw.  A null or unknown unit, a null value and a
     value that is not above zero give a null recorded size; a name without a size, and a null
-    or empty one, a null named size.  Repeated rows come out repeated, an empty table empty.
+    or empty one, a null named size; so does a value from 10^31 on, which the columns cannot
+    hold.  Repeated rows come out repeated, an empty table empty.
     """
     return items.select("id", "unit_value", "unit_type", "name_raw").mapInPandas(_sizes, SIZES)
 

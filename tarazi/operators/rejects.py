@@ -12,17 +12,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarazi.functions.payloads import COLUMNS, parse_payload
-from tarazi.operators.instants import TimeDictionary, dictionary_of, with_instants
+from tarazi.functions.payloads import COLUMNS, MOST, parse_payload
+from tarazi.operators.instants import TimeDictionary, with_instants
+from tarazi.session import cut_lineage
 
 PARSED = (
     "batch_id long, row_num int, source string, business_date date, sku string, name string, brand string, ean string, category_raw string, "
     "price_qepik long, old_price_qepik long, old_price_text string, available boolean, store_code string, promo_until string, time_text string, error string"
 )
-_LONG = 2**63 - 1
 
 
 def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -30,7 +30,7 @@ def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = [parse_payload(s, p) for s, p in zip(pdf["source"], pdf["payload"])]
         out = pd.DataFrame(rows, columns=list(COLUMNS), dtype=object)
         for c in ("price_qepik", "old_price_qepik"):
-            out[c] = [None if v is None or abs(v) > _LONG else v for v in out[c]]
+            out[c] = [None if v is None or abs(v) > MOST else v for v in out[c]]
         keys = pdf[["batch_id", "row_num", "source", "business_date"]].reset_index(drop=True)
         yield pd.concat([keys, out], axis=1)
 
@@ -52,7 +52,7 @@ def classify(raw: DataFrame, retailers: DataFrame, stores: DataFrame, zoned: tup
     A zoned source's record needs a store code of ``stores``.  A record without a time loads,
     with a null ``observed_at``.
     """
-    parsed = parse_records(raw)
+    parsed = cut_lineage(parse_records(raw))  # read twice below, for the times and for the rows
     times = with_instants(parsed, retailers, dictionary)
     known = stores.select(F.col("retailer_code").alias("_rc"), F.col("store_code").alias("_sc")).where(F.col("_sc").isNotNull()).distinct()
     # the store register is a dimension: AQE broadcasts it while it is small and shuffles it beyond that
@@ -71,18 +71,3 @@ def rejected(classified: DataFrame) -> DataFrame:
 
 def loaded(classified: DataFrame) -> DataFrame:
     return classified.where(F.col("error").isNull()).drop("error")
-
-
-def reject_reason(parser_error: Column, sku: Column, name: Column, price: Column, unknown_store: Column) -> Column:
-    """First reason that holds of a typed frame: parser error, missing_sku, missing_name, invalid_price, nonpositive_price, unknown_store."""
-    return (
-        F.when(parser_error.isNotNull(), parser_error)
-        .when(sku.isNull(), F.lit("missing_sku"))
-        .when(name.isNull(), F.lit("missing_name"))
-        .when(price.isNull(), F.lit("invalid_price"))
-        .when(price <= 0, F.lit("nonpositive_price"))
-        .when(unknown_store, F.lit("unknown_store"))
-    )
-
-
-__all__ = ["classify", "dictionary_of", "loaded", "parse_records", "reject_reason", "rejected"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Days of one coarse bucket; a trailing window up to this long touches two buckets at most.
+#: Days of one coarse bucket; a trailing window up to this long touches two buckets at most, a longer one as many as it needs.
 BUCKET_DAYS = 32
 
 
@@ -26,15 +26,14 @@ def trailing(daily: DataFrame, entity: list[str], measures: list[str], windows:
 
     The calendar of an entity runs from its first to its last day, whole, whatever is missing
     in between.  Calendar days and daily values meet by entity and bucket of BUCKET_DAYS days,
-    each value sent to its own bucket and the next, and are then held to the window's bounds;
-    a group of the join is never larger than two buckets, however large its entity.  The
-    aggregation keeps the join's partitioning, so both need the same two exchanges.
+    each value sent to its own bucket and those that its windows reach, and are then held to the
+    window's bounds; a group of the join is never larger than those buckets, however large its
+    entity.  The join is always one of two exchanges, never a broadcast, as the aggregation
+    keeps its partitioning: the days that a value is spread to are never shuffled.
 
     Totals and counts are over days with a value; a window without any has a null total and
     average and the count 0.  Null entity keys form entities like any other.
     """
-    if max(windows) > BUCKET_DAYS + 1:
-        raise ValueError(f"windows may have {BUCKET_DAYS + 1} days at most")
     e = F.struct(*entity)
     number = F.unix_date("day")
     span = daily.groupBy(*entity).agg(F.min(number).alias("_first"), F.max(number).alias("_last"))
@@ -42,12 +41,12 @@ def trailing(daily: DataFrame, entity: list[str], measures: list[str], windows:
     start = F.greatest("_first", F.col("_bucket") * BUCKET_DAYS).cast("int")
     end = F.least("_last", F.col("_bucket") * BUCKET_DAYS + BUCKET_DAYS - 1).cast("int")
     calendar = buckets.select("_e", "_bucket", start.alias("_start"), end.alias("_end"))
-    own = F.floor(number / BUCKET_DAYS)
+    own, further = F.floor(number / BUCKET_DAYS), -(-(max(windows) - 1) // BUCKET_DAYS)
     held = [F.col(m).cast("long").alias(f"_m{i}") for i, m in enumerate(measures)]
-    values = daily.select(e.alias("_e"), F.explode(F.array(own, own + 1)).alias("_bucket"), number.alias("_day"), *held)
+    values = daily.select(e.alias("_e"), F.explode(F.sequence(own, own + further)).alias("_bucket"), number.alias("_day"), *held)
     # a row without a day stands for the calendar itself and keeps days whose windows are empty
     marks = calendar.select("_e", "_bucket", F.lit(None).cast("int").alias("_day"), *[F.lit(None).cast("long").alias(f"_m{i}") for i in range(len(measures))])
-    meeting = calendar.join(values.unionByName(marks), ["_e", "_bucket"])
+    meeting = calendar.hint("merge").join(values.unionByName(marks).hint("merge"), ["_e", "_bucket"])
     since = F.greatest("_start", "_day")
     until = F.least(F.col("_end"), F.col("_day") + (max(windows) - 1))
     pairs = meeting.where(since <= until).withColumn("_at", F.explode(F.sequence(since, until)))

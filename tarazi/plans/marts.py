@@ -143,9 +143,9 @@ def normalize_text(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def fingerprint_blocks(spark: SparkSession, folder: str) -> DataFrame:
-    """Listings by their fingerprints: exact and tolerant ones, with the percentage."""
-    name = F.col("name_raw")
-    return table(spark, folder, "store_item", "id", "name_raw").select("id", scalars.fingerprint(name).alias("fingerprint"), scalars.loose_fingerprint(name).alias("loose"), scalars.fat_percent(name).alias("fat"))
+    """Fingerprints of the listings, exact and tolerant ones, with the percentage."""
+    parts = table(spark, folder, "store_item", "id", "name_raw").select("id", scalars.name_parts(F.col("name_raw")).alias("p"))
+    return parts.select("id", scalars.fingerprint(F.col("p")).alias("fingerprint"), scalars.loose_fingerprint(F.col("p")).alias("loose"), F.col("p.fat").alias("fat"))
 
 
 def cascade_match(spark: SparkSession, folder: str) -> DataFrame:
@@ -153,6 +153,11 @@ def cascade_match(spark: SparkSession, folder: str) -> DataFrame:
     return cascade.cascade(table(spark, folder, "store_item"))
 
 
+def cascade_review(spark: SparkSession, folder: str) -> DataFrame:
+    """Candidates of the listings that the cascade leaves for review."""
+    return cascade.review_candidates(table(spark, folder, "store_item"))
+
+
 def record_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Loaded records beyond the first of their source, SKU, store and day, with the price that was kept."""
     loaded = rejects.parse_records(table(spark, folder, "raw_record")).where(F.col("error").isNull())
@@ -244,7 +249,7 @@ QUERIES = {
 } | {
     f.__name__: f
     for f in (
-        dedupe_first, duplicate_keys, reconciliation, batch_reconciliation, trailing_median, freshness, ean_conflicts, gtin_check, normalize_text, fingerprint_blocks, cascade_match, record_duplicates,
+        dedupe_first, duplicate_keys, reconciliation, batch_reconciliation, trailing_median, freshness, ean_conflicts, gtin_check, normalize_text, fingerprint_blocks, cascade_match, cascade_review, record_duplicates,
         lineage_union, sha_dedupe, match_quality, product_search, scd2_snapshot, item_upsert, append_once, event_windows,
     )
 }

@@ -26,7 +26,7 @@ def local_session(cores: int = 8, partitions: int = 8) -> SparkSession:
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a local one only where that is unset, as in tests.
+    """The shared folder named by ``spark.checkpoint.dir``; a local one only where that is unset and the session is local, as in tests.
 
     Also makes the folder the checkpoint directory of the session's context.
     """
@@ -34,6 +34,8 @@ def checkpoint_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not folder:
         have = context._jsc.sc().getCheckpointDir()
+        if not have.isDefined() and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = have.get() if have.isDefined() else tempfile.mkdtemp(prefix="tarazi-checkpoint-")
     if not context._jsc.sc().getCheckpointDir().isDefined():
         context.setCheckpointDir(folder)
@@ -65,7 +67,3 @@ def clear_scratch(spark: SparkSession) -> None:
     """Delete the tables that this application's queries wrote to the shared folder; results not yet read are lost."""
     root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
     root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
-
-
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))

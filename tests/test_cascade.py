@@ -16,7 +16,7 @@ def test_all_similar_pairs(spark, monkeypatch, chunk):
     words = ["sud", "ayran", "tam", "yagli", "kend", "taze", "qara", "cay", "xama", "pendir"]
     spoil = lambda w: w if rnd.random() < 0.7 else w[: (i := rnd.randrange(len(w)))] + rnd.choice("xyz") + w[i + 1 :]
     data = [(n, rnd.choice("abc"), " ".join(spoil(w) for w in rnd.sample(words, 3)), rnd.choice([None, "dovu", "dovuu", "zizun"]), None, "none", "g", rnd.choice([1.0, 2.0]), None, rnd.choice(["x", "y", None])) for n in range(80)]
-    rows = cascade.prepared(spark.createDataFrame(data, ITEMS)).select("id", "retailer_code", "block", "fat", "brand", "category", "words", "rank")
+    rows = cascade.prepared(spark.createDataFrame(data, ITEMS)).select("id", "retailer_code", "block", "fat", "numbers", "brand", "category", "words", "rank")
     got = {(r.id, r.product): r.score for r in cascade.similar(rows).collect()}
     want = {}
     for a, b in itertools.permutations(rows.collect(), 2):
@@ -33,3 +33,30 @@ def test_names_without_a_common_word(spark):
     data = [(1, "a", "sokolad findiqli", "demo", None, "none", None, None, None, "x"), (2, "b", "sokolat findqli", "demo", None, "none", None, None, None, "x")]
     got = {r.id: (r.product, r.method) for r in cascade.cascade(spark.createDataFrame(data, ITEMS)).collect()}
     assert got[2] == (1, "fuzzy")
+
+
+def test_chain_ends_at_its_founder(spark):
+    links = spark.createDataFrame([(1, 1, "new", 1.0)] + [(i, i - 1, "fuzzy", 0.9) for i in range(2, 51)], "id long, product long, method string, confidence double")
+    assert {r.product for r in cascade.resolve(links).collect()} == {1}
+
+
+def test_listings_joined_by_barcode_give_their_fingerprint(spark):
+    # 2 joins 1 by barcode; 3 has the name of 2; 4 is of a retailer that the product has
+    data = [(1, "a", "zorbat duzlu", None, "E", "global", None, None, None, "x"), (2, "b", "mirqul xamali", None, "E", "global", None, None, None, "x"), (3, "c", "mirqul xamali", None, None, "none", None, None, None, "x"), (4, "b", "mirqul xamali", None, None, "none", None, None, None, "y")]
+    got = {r.id: (r.product, r.method) for r in cascade.cascade(spark.createDataFrame(data, ITEMS)).collect()}
+    assert got[2] == (1, "ean") and got[3] == (1, "fingerprint") and got[4][0] == 4
+
+
+def test_pairs_with_one_barcode_are_found(spark, folder):
+    """Recall and precision on pairs of listings that share a global barcode."""
+    items = spark.read.parquet(f"{folder}/store_item.parquet").where("ean_kind = 'global'")
+    got = {r.id: r.product for r in cascade.cascade(items).collect()}
+    want = {r.id: r.ean.strip() for r in items.collect()}
+    pairs = [(a, b) for a, b in itertools.combinations(want, 2) if want[a] == want[b]]
+    assert sum(got[a] == got[b] for a, b in pairs) == len(pairs)
+
+
+def test_odd_listings(spark):
+    data = [(1, None, None, None, None, None, None, None, None, None), (2, "a", "", "", "", "none", "", None, None, ""), (3, "a", "x " * 20_000, None, None, None, None, None, None, None), (3, "a", "x " * 20_000, None, None, None, None, None, None, None)]
+    assert {r.id: r.method for r in cascade.cascade(spark.createDataFrame(data, ITEMS)).collect()} == {1: "new", 2: "new", 3: "new"}
+    assert cascade.cascade(spark.createDataFrame([], ITEMS)).count() == 0
