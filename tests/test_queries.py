@@ -8,9 +8,9 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
-from tarazi.plans import marts, marts_sql, problem_sql, problems
+from tarazi.plans import feeds, feeds_sql, marts, marts_sql, problem_sql, problems
 
-QUERIES, SQL = {**marts.QUERIES, **problems.QUERIES}, {**marts_sql.ORACLES, **problem_sql.ORACLES}
+QUERIES, SQL = {**marts.QUERIES, **feeds.QUERIES, **problems.QUERIES}, {**marts_sql.ORACLES, **feeds_sql.ORACLES, **problem_sql.ORACLES}
 
 
 def canonical(pdf):
