@@ -66,9 +66,11 @@ ORACLES = {
 }
 
 _UNITS = "fl\\.?\\s*oz|(?:k|к|m|м|c|s|с|d|д)?(?:g|gr|gram|gramm|q|qr|qram|г|гр|грамм|l|lt|ltr|litr|л|лт|литр)|oz|lb|lbs|funt|фунт|pcs|pc|əd|ədəd|ed|eded|ad|adad|шт|şt|st|pk|lu|lü|lı|li|luq|lıq"
+# a Latin letter of a unit may be written as the Cyrillic one that looks like it
+_UNITS = _UNITS.translate({ord(a): f"[{a}{b}]" for a, b in zip("aeopcykmtg", "аеорсукмтг")})
 _NUM = "[0-9]+(?:[.,][0-9]+)?"
 _STOPS = "kq kg qr gr q g ml l lt eded ed adet st caki ceki cheki paket qutuda qutu setka tnk tk bag ile ve v i na dan den uchun ucun super lyuks luks yeni new aksiya endirim mehsul mehsullar no n x sm cm mm de da"
-ORACLES["fingerprint_blocks"] = f"""WITH bare AS (SELECT id, name_raw, regexp_replace(regexp_replace(regexp_replace(translate(coalesce(name_raw, ''), 'İI', 'ii'), '(^|[^\\pL\\pN_.,])[0-9]+\\s*[xх*×]\\s*{_NUM}\\s*(?:{_UNITS})([^\\pL]|$)', '\\1 \\2', 'gi'),
+ORACLES["fingerprint_blocks"] = f"""WITH bare AS (SELECT id, name_raw, regexp_replace(regexp_replace(regexp_replace(translate(coalesce(name_raw, ''), concat('İI', chr(160)), 'ii '), '(^|[^\\pL\\pN_.,])[0-9]+\\s*[xх*×]\\s*{_NUM}\\s*(?:{_UNITS})([^\\pL]|$)', '\\1 \\2', 'gi'),
     '(^|[^\\pL\\pN_.,]){_NUM}\\s*-?\\s*(?:{_UNITS})([^\\pL]|$)', '\\1 \\2', 'gi'), '{_NUM}\\s*%', ' ', 'g') AS t FROM store_item),
   found AS (SELECT id, name_raw, regexp_extract_all(lower(translate(t, 'ƏəIıİÖöÜüÇçŞşĞğаеоcсрхукмтвн', 'aaiiioouuccssggaeoccpxykmtvn')), '[a-z0-9]+') AS w FROM bare),
   parts AS (SELECT id, name_raw, list_filter(w, lambda x: length(x) > 1 AND NOT regexp_full_match(x, '[0-9]+') AND NOT list_contains(string_split('{_STOPS}', ' '), x)) AS words, list_sort(list_filter(w, lambda x: regexp_full_match(x, '[0-9]+'))) AS numbers FROM found),
