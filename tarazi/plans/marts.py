@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tarazi.functions import scalars
 from tarazi.operators import cascade, quality, rejects, upserts
 from tarazi.plans import adapter, gold
-from tarazi.session import cut_lineage
+from tarazi.session import published
 from tarazi.sources.records import table
 from tarazi.streaming import windows as streams
 
@@ -18,11 +18,12 @@ from tarazi.streaming import windows as streams
 class _Models:
     """The models of one folder, built on each other when they are asked for.
 
-    The item dimension and the fact are tables in a warehouse; here each is written once to the
-    shared folder, so that the marts above, which read it several times, do not build it again.
+    The item dimension and the fact are tables in a warehouse: they are published once to the
+    shared folder, and the marts of all queries read them.
     """
 
     def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
         self.obs = adapter.observations(spark, folder)
         self.daily = gold.daily_price(self.obs)
         self.regular = gold.regular_price(self.daily)
@@ -30,7 +31,7 @@ class _Models:
 
     @cached_property
     def items(self) -> DataFrame:
-        return cut_lineage(adapter.items(self.obs))
+        return published(self.spark, self.folder, "items", lambda: adapter.items(self.obs))
 
     @cached_property
     def products(self) -> DataFrame:
@@ -38,7 +39,7 @@ class _Models:
 
     @cached_property
     def fact(self) -> DataFrame:
-        return cut_lineage(gold.with_product(self.fact0, self.items, self.products))
+        return published(self.spark, self.folder, "fact", lambda: gold.with_product(self.fact0, self.items, self.products))
 
     @cached_property
     def ref(self) -> DataFrame:
@@ -77,11 +78,14 @@ def _model(pick):
 _AVERAGES = ("regular_price_avg", "effective_price_avg", "promo_share")
 
 
-def fact_incremental(spark: SparkSession, folder: str) -> DataFrame:
-    """The fact after its last days are replaced by a fresh computation over all history."""
-    fact = _Models(spark, folder).fact0
-    stale = fact.withColumn("price_qepik", F.when(F.col("observed_date") == fact.agg(F.max("observed_date")).scalar(), F.lit(0).cast("long")).otherwise(F.col("price_qepik")))
-    return upserts.rewrite_window(stale, fact, "observed_date", 7)
+def fact_incremental(spark: SparkSession, folder: str, days: int = 7) -> DataFrame:
+    """The fact of a first load without the late deliveries, after its last days are replaced by a load of everything.
+
+    Late deliveries (here those without stock) change the last days only; what is older stays as it was.
+    """
+    obs = _Models(spark, folder).obs
+    load = lambda rows: gold.daily_fact(gold.regular_price(gold.daily_price(rows)))
+    return upserts.rewrite_window(load(obs.where("available")), load(obs), "observed_date", days)
 
 
 def zone_consistency(m: _Models) -> DataFrame:
@@ -187,6 +191,14 @@ def match_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.pair_counts(last.join(items, F.col("id") == F.col("store_item_id")).select("product", "ean"), "product", "ean")
 
 
+def basket_saving(m: _Models) -> DataFrame:
+    """The basket at the best single price point of the last day that has all of it, against its cheapest split over all."""
+    split = gold.best_split(m.fact, m.basket).agg(F.sum("cost_qepik").alias("split_qepik"), F.count(F.lit(1)).alias("items"))
+    whole = gold.cheapest_basket(m.fact, m.basket).where("is_complete")
+    best = whole.where(F.col("observed_date") == whole.agg(F.max("observed_date")).scalar()).agg(F.min(F.struct("total_qepik", "price_point_key")).alias("b"))
+    return best.select("b.price_point_key", F.col("b.total_qepik").alias("single_qepik"), split.select("split_qepik").scalar().alias("split_qepik"), split.select("items").scalar().alias("items")).withColumn("saving_qepik", F.col("single_qepik") - F.col("split_qepik"))
+
+
 def product_search(spark: SparkSession, folder: str) -> DataFrame:
     """A page of the products whose name holds a word."""
     return table(spark, folder, "part", "p_partkey", "p_name", "p_brand").where(F.lower("p_name").like("%ring%")).orderBy("p_name", "p_partkey").offset(20).limit(50)
@@ -236,6 +248,7 @@ QUERIES = {
     "basket_definition": _model(lambda m: m.basket),
     "cheapest_basket": _model(lambda m: gold.cheapest_basket(m.fact, m.basket)),
     "custom_basket_split": _model(lambda m: gold.best_split(m.fact, m.basket)),
+    "basket_saving": _model(basket_saving),
     "dim_date": _model(lambda m: gold.dim_date(m.obs)),
     "dim_product": _model(lambda m: m.products),
     "dim_category": _model(lambda m: gold.dim_category(m.products)),

@@ -54,7 +54,8 @@ ORACLES = {
     "daily_price_mode": f"WITH {OBS}, {DAILY} SELECT * FROM daily",
     "regular_price": f"{FACT} SELECT store_item_id, retailer_code, price_point_key, price_zone, observed_date, price_qepik, old_price_qepik, available, n_stores, n_distinct_prices, is_promo, coalesce(ordinary, old_price_qepik) AS regular_price_qepik, CASE WHEN is_promo AND ordinary IS NULL THEN 'claimed' ELSE 'observed' END AS regular_price_source FROM regular",
     "fact_daily": f"{FACT} SELECT * FROM fact0",
-    "fact_incremental": f"{FACT} SELECT * FROM fact0",
+    "fact_incremental": f"""{FACT}, first AS ({FACT.replace('), items AS', ' WHERE l_returnflag <> ' + chr(39) + 'R' + chr(39) + '), items AS', 1)} SELECT * FROM fact0), d AS (SELECT max(observed_date) - 7 AS d FROM first)
+      SELECT * FROM fact0 WHERE observed_date >= (SELECT d FROM d) UNION ALL SELECT * FROM first WHERE observed_date < (SELECT d FROM d)""",
     "ref_regular": f"{FACT}, {REF} SELECT * FROM ref",
     "period_price_point": f"{FACT}, {CELLS} SELECT product_key, price_point_key, retailer_code, period_start, round(regular_price_avg, 6) AS regular_price_avg, round(effective_price_avg, 6) AS effective_price_avg, round(promo_share, 6) AS promo_share, n_days FROM cells",
     "period_retailer": f"{FACT}, {CELLS}, {LEVELS} SELECT product_key, category, retailer_code, period_start, round(regular_price_avg, 6) AS regular_price_avg, round(effective_price_avg, 6) AS effective_price_avg, round(promo_share, 6) AS promo_share FROM levels",
@@ -113,3 +114,6 @@ ORACLES = {
     "append_once": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders o WHERE NOT EXISTS (SELECT 1 FROM (SELECT * FROM orders WHERE o_orderstatus = 'F') e WHERE e.o_orderkey = o.o_orderkey)",
     "event_windows": "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2",
 }
+ORACLES["basket_saving"] = f"""{FACT}, {BASKET}, whole AS ({CHEAPEST}), split AS ({ORACLES["custom_basket_split"].split("basket AS", 1)[1].split("rk <= 2)", 1)[1].lstrip(") ")}),
+  best AS (SELECT price_point_key, total_qepik FROM whole WHERE is_complete AND observed_date = (SELECT max(observed_date) FROM whole WHERE is_complete) ORDER BY total_qepik, price_point_key LIMIT 1)
+  SELECT (SELECT price_point_key FROM best) AS price_point_key, (SELECT total_qepik FROM best) AS single_qepik, CAST(sum(cost_qepik) AS BIGINT) AS split_qepik, count(*) AS items, (SELECT total_qepik FROM best) - CAST(sum(cost_qepik) AS BIGINT) AS saving_qepik FROM split"""

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,6 +65,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def published(spark: SparkSession, folder: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A model of the tables in ``folder``, written once an application and state of those tables, and read from then on.
+
+    The state is the names, sizes and times of the folder's files, so a changed input is built
+    anew.  A table counts once its writer has marked it as whole.
+    """
+    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs.Path, spark.sparkContext._jsc.hadoopConfiguration()
+    source = hadoop(folder)
+    files = source.getFileSystem(conf).listStatus(source)
+    state = hashlib.sha1("|".join(sorted(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}" for f in files)).encode()).hexdigest()
+    path = f"{_scratch_root(spark)}-models/{state}/{name}"
+    if not hadoop(path).getFileSystem(conf).exists(hadoop(path, "_SUCCESS")):
+        build().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete the tables that this application's queries wrote to the shared folder; results not yet read are lost."""
     root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
