@@ -12,7 +12,7 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
 from typing import NamedTuple
@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarazi.session import cut_lineage
+
 #: Words of a window.  Short, so that a passage with a changed word in every four is still hit.
 NGRAM = 3
 #: Words of a passage, changed ones included, and those that must be matched.
@@ -136,10 +138,10 @@ def align(item: list[str], doc: list[str], own: set[str]) -> Alignment:
 
 
 class Index:
-    """N-grams of a block of items, each with its places."""
+    """N-grams of a block of items (id and words), each with its places."""
 
-    def __init__(self, items: list[tuple[int, str]], shared: dict[str, float]):
-        self.words = {i: words_of(t) for i, t in items}
+    def __init__(self, items: list[tuple[int, list[str]]], shared: dict[str, float]):
+        self.words = dict(items)
         self.own = {i: {w for w in ws if any(c.isdigit() for c in w) or shared.get(w, 0) <= COMMON} for i, ws in self.words.items()}
         self.places: dict[tuple, list] = defaultdict(list)
         for i, ws in self.words.items():
@@ -182,30 +184,31 @@ class Index:
             yield group
 
 
+def _words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        yield pd.DataFrame({"item_id": pdf["item_id"], "words": [words_of(t) for t in pdf["text"]]})
+
+
 def leaked(documents: DataFrame, items: DataFrame) -> DataFrame:
     """item_id, doc_id, matched and changed words of every document that holds an item's passage.
 
-    Items are read to the driver in blocks: held-out suites are small and fixed, and each block
-    is cut at BLOCK_WORDS words, so no broadcast is larger than that.  The corpus is read once
-    a block, without a shuffle.  Null and empty texts hold nothing; items of under PASSAGE
-    words can have no passage.  Repeated rows of one document come out once.
+    Items are cut into blocks of about BLOCK_WORDS words by a hash of their id.  The driver
+    holds and broadcasts one block at a time; the corpus is read once a block, without a
+    shuffle.  Words that over a share of COMMON of all items have are few: under 1/COMMON times
+    an item's words.  Null and empty texts hold nothing; items of under PASSAGE words can have
+    no passage.  Repeated rows of one document come out once.
     """
     spark = documents.sparkSession
-    rows = [(r["item_id"], r["text"]) for r in items.select("item_id", "text").where(F.col("text").isNotNull()).toLocalIterator()]
-    in_items = Counter(w for _, t in rows for w in set(words_of(t)))
-    shared = {w: c / len(rows) for w, c in in_items.items() if c > COMMON * len(rows)}
-    blocks: list[list] = [[]]
-    size = 0
-    for i, t in rows:
-        n = len(words_of(t))
-        if size + n > BLOCK_WORDS and blocks[-1]:
-            blocks.append([])
-            size = 0
-        blocks[-1].append((i, t))
-        size += n
+    texts = items.select("item_id", "text").where(F.col("text").isNotNull())
+    worded = cut_lineage(texts.mapInPandas(_words, "item_id long, words array<string>"))
+    total = worded.agg(F.count(F.lit(1)).alias("items"), F.coalesce(F.sum(F.size("words")), F.lit(0)).alias("words")).first()
+    in_items = worded.select(F.explode(F.array_distinct("words")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > COMMON * total["items"])
+    common = {r["word"]: r["n"] / total["items"] for r in in_items.toLocalIterator()}
+    blocks = max(1, -(-total["words"] // BLOCK_WORDS))
     parts = []
-    for block in blocks:
-        shared_block = spark.sparkContext.broadcast((block, shared))
+    for number in range(blocks):
+        block = [(r["item_id"], r["words"]) for r in worded.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == number).toLocalIterator()]
+        shared_block = spark.sparkContext.broadcast((block, common))
 
         def scan(batches: Iterator[pd.DataFrame], shared_block=shared_block) -> Iterator[pd.DataFrame]:
             index = Index(*shared_block.value)
@@ -213,7 +216,11 @@ def leaked(documents: DataFrame, items: DataFrame) -> DataFrame:
                 out = [(item, d, m, c) for d, t in zip(pdf["doc_id"], pdf["text"]) for item, m, c in index.leaks(words_of(t))]
                 yield pd.DataFrame(out, columns=["item_id", "doc_id", "matched", "changed"])
 
-        parts.append(documents.select("doc_id", "text").where(F.col("text").isNotNull()).mapInPandas(scan, "item_id long, doc_id long, matched int, changed int"))
+        part = documents.select("doc_id", "text").where(F.col("text").isNotNull()).mapInPandas(scan, "item_id long, doc_id long, matched int, changed int")
+        if blocks > 1:
+            part = cut_lineage(part)
+            shared_block.destroy()
+        parts.append(part)
     return reduce(DataFrame.unionByName, parts).groupBy("item_id", "doc_id").agg(F.max("matched").alias("matched"), F.min("changed").alias("changed"))
 
 

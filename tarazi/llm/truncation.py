@@ -31,6 +31,8 @@ from tarazi.session import cut_lineage
 SPIKE_SHARE, SPIKE_COUNT, SPIKE_WIDTH = 0.03, 4, 3
 #: Longest tail, in tokens, that is held against the corpus.
 TAIL = 4
+#: Bits of the filter that keeps tails of no text's end out of the shuffle: so many for each wanted tail, and in all (16 MB) at most.
+FILTER_BITS, MOST_FILTER_BITS = 16, 1 << 27
 #: Uses of a context that make it known, and a tail's least share of endings among its own uses and among those of its context.
 KNOWN, END_SHARE, CONTEXT_SHARE = 5, 0.25, 0.02
 
@@ -154,23 +156,48 @@ USES = "tail long, ends long, mids long, finals long"
 LAST = "doc_id long, source string, text_hash long, chars int, bytes int, closed boolean, broken boolean, numbered boolean, listed boolean, alone boolean, tails array<long>"
 
 
-def _uses(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Uses of every tail inside the texts: before the end of a line or sentence, or before more of it.
+def wanted_filter(wanted: DataFrame) -> np.ndarray:
+    """A bit array with the bit of every wanted tail set, as 64-bit words; built by the executors.
+
+    Its size depends on the number of tails up to a bound; beyond it more tails pass, none is lost.
+    """
+    bits = 1 << 10
+    while bits < min(wanted.count() * FILTER_BITS, MOST_FILTER_BITS):
+        bits *= 2
+    at = F.pmod("tail", F.lit(bits))
+    words = wanted.groupBy(F.shiftright(at, 6).alias("word")).agg(F.bit_or(F.shiftleft(F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int"))).alias("held")).toPandas()
+    out = np.zeros(bits >> 6, np.int64)
+    out[words["word"].to_numpy(np.int64)] = words["held"].to_numpy(np.int64)
+    return out.view(np.uint64)
+
+
+def passes(tails: np.ndarray, held: np.ndarray) -> np.ndarray:
+    at = tails & np.uint64((len(held) << 6) - 1)
+    return (held[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def _uses(shared):
+    """Uses of every wanted tail inside the texts: before the end of a line or sentence, or before more of it.
 
     The tokens of a batch are one array; the tails of each length are sums of shifted arrays.
     """
-    for pdf in batches:
-        codes: list[int] = []
-        lasts: list[int] = []
-        for text in pdf["text"]:
-            if text and text.strip():
-                codes.extend(codes_of(body_of(text)[0]))
-                lasts.append(len(codes) - 1)
-        found, ended = tail_uses(np.array(codes, dtype=np.uint64), np.array(lasts, dtype=np.int64))
-        keys, at = np.unique(found, return_inverse=True)
-        ends = np.bincount(at, weights=ended, minlength=len(keys)).astype("int64")
-        all_uses = np.bincount(at, minlength=len(keys)).astype("int64")
-        yield pd.DataFrame({"tail": keys.astype("int64"), "ends": ends, "mids": all_uses - ends, "finals": 0})
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = shared.value
+        for pdf in batches:
+            codes: list[int] = []
+            lasts: list[int] = []
+            for text in pdf["text"]:
+                if text and text.strip():
+                    codes.extend(codes_of(body_of(text)[0]))
+                    lasts.append(len(codes) - 1)
+            found, ended = tail_uses(np.array(codes, dtype=np.uint64), np.array(lasts, dtype=np.int64))
+            some = passes(found, held)
+            keys, at = np.unique(found[some], return_inverse=True)
+            ends = np.bincount(at, weights=ended[some], minlength=len(keys)).astype("int64")
+            all_uses = np.bincount(at, minlength=len(keys)).astype("int64")
+            yield pd.DataFrame({"tail": keys.astype("int64"), "ends": ends, "mids": all_uses - ends, "finals": 0})
+
+    return count
 
 
 def tail_uses(codes: np.ndarray, lasts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -227,8 +254,8 @@ def length_spikes(documents: DataFrame) -> DataFrame:
     """Field limits by source: source, limit_kind (chars or bytes), limit, texts, at_limit.
 
     A limit is the largest length of a source where the texts within SPIKE_WIDTH of it are more
-    than SPIKE_SHARE of the source, SPIKE_COUNT at least, and over ten times as many as in the
-    equally wide span before.
+    than SPIKE_SHARE of the source, SPIKE_COUNT at least, and over twice as many as in the span
+    before, which is three times as wide.
     """
     lengths = documents.where(F.col("text").isNotNull() & (F.trim("text") != "")).select(F.coalesce("source", F.lit("")).alias("source"), F.char_length("text").alias("chars"), F.octet_length("text").alias("bytes"))
     histogram = lengths.select("source", F.explode(F.create_map(F.lit("chars"), F.col("chars"), F.lit("bytes"), F.col("bytes"))).alias("limit_kind", "length")).groupBy("source", "limit_kind", "length").agg(F.count(F.lit(1)).alias("n"))
@@ -289,14 +316,16 @@ def truncated(documents: DataFrame) -> DataFrame:
     """doc_id, source, at_limit and cut of every text that is neither null, empty nor blank.
 
     The uses of tails are counted in each batch and then over all documents, so a tail on a
-    third of all texts costs a row a task.  Wholly repeated rows come out once.
+    third of all texts costs a row a task.  Tails at the end of no text are kept out of the
+    shuffle by a filter of bounded size.  Wholly repeated rows come out once.
     """
     docs = documents.select("doc_id", "source", "text")
     last = cut_lineage(docs.mapInPandas(_last, LAST))
     finals = last.dropDuplicates(["text_hash"]).select(F.explode(F.array_distinct("tails")).alias("tail")).where("tail <> 0").groupBy("tail").agg(F.count(F.lit(1)).alias("finals"))
     rows = last.select("doc_id", "text_hash", F.posexplode("tails").alias("k", "tail")).where("tail <> 0")
-    wanted = rows.groupBy("tail").agg(F.count(F.lit(1)).alias("_n"))
-    uses = docs.select("text").mapInPandas(_uses, USES).unionByName(finals.select("tail", F.lit(0).cast("long").alias("ends"), F.lit(0).cast("long").alias("mids"), "finals"))
+    wanted = cut_lineage(rows.groupBy("tail").agg(F.count(F.lit(1)).alias("_n")))
+    shared = documents.sparkSession.sparkContext.broadcast(wanted_filter(wanted))
+    uses = docs.select("text").mapInPandas(_uses(shared), USES).unionByName(finals.select("tail", F.lit(0).cast("long").alias("ends"), F.lit(0).cast("long").alias("mids"), "finals"))
     totals = uses.groupBy("tail").agg(*[F.sum(c).alias(c) for c in ("ends", "mids", "finals")])
     known = wanted.join(totals, "tail").select(F.col("tail").cast("string").alias("_tail"), "_n", "ends", "mids", "finals")
     found = lookup(rows.withColumn("_tail", F.col("tail").cast("string")), known, "_tail", "_n", ["doc_id", "k"])
