@@ -165,7 +165,7 @@ def wanted_filter(wanted: DataFrame) -> np.ndarray:
     while bits < min(wanted.count() * FILTER_BITS, MOST_FILTER_BITS):
         bits *= 2
     at = F.pmod("tail", F.lit(bits))
-    words = wanted.groupBy(F.shiftright(at, 6).alias("word")).agg(F.bit_or(F.shiftleft(F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int"))).alias("held")).toPandas()
+    words = wanted.groupBy(F.shiftright(at, 6).alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int"))).alias("held")).toPandas()
     out = np.zeros(bits >> 6, np.int64)
     out[words["word"].to_numpy(np.int64)] = words["held"].to_numpy(np.int64)
     return out.view(np.uint64)
