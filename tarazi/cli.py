@@ -6,11 +6,11 @@ import argparse
 import sys
 
 from tarazi.ops.ledger import Ledger
-from tarazi.plans import marts, problems
-from tarazi.session import clear_scratch, local_session
+from tarazi.plans import feeds, marts, problems
+from tarazi.session import clear_scratch, cut_lineage, local_session
 from tarazi.sources import landing
 
-QUERIES = {**marts.QUERIES, **problems.QUERIES}
+QUERIES = {**marts.QUERIES, **feeds.QUERIES, **problems.QUERIES}
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -49,18 +49,19 @@ def ingest(spark, folder: str, store: str, as_of: str | None = None) -> dict:
     at = jvm.Path(ledger_path)
     known = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
     ledger = spark.read.schema(schema).parquet(ledger_path) if known else spark.createDataFrame([], schema)
-    files = landing.unseen(landing.discover(spark, folder, as_of), ledger)
-    listed = files.select("source", "file_sha256", "path", "kind", "business_date", "file_bytes").collect()  # a row a new file
-    if not listed:
+    found = cut_lineage(landing.discover(spark, folder, as_of).drop("content"))  # names and hashes, read once
+    fresh = cut_lineage(landing.unseen(found, ledger).select("source", "file_sha256", "path", "kind", "business_date", "file_bytes"))
+    new = fresh.count()
+    if not new:
         return {"files": 0}
-    seen = landing.raw_records(files)
+    seen = landing.raw_records(landing.discover(spark, folder, as_of).join(fresh.select("path"), "path", "left_semi"))
     records_at = jvm.Path(records_path)
     if records_at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(records_at):  # a run may have stopped before its ledger rows
         old = spark.read.parquet(records_path).select("source", "file_sha256").distinct()
         seen = seen.join(old, ["source", "file_sha256"], "left_anti")
     landing.append_records(seen, records_path)
-    spark.createDataFrame(listed, schema).coalesce(1).write.mode("append").parquet(ledger_path)
-    return {"files": len(listed)}
+    fresh.coalesce(1).write.mode("append").parquet(ledger_path)
+    return {"files": new}
 
 
 if __name__ == "__main__":

@@ -45,7 +45,7 @@ class Ledger:
                 stats = run() or {}
             except Exception as e:
                 if attempt == attempts:
-                    self.record("step", name, "failed", attempt, error=f"{type(e).__name__}: {e}"[:2000])
+                    self.record("step", name, "failed", attempt, error=f"{type(e).__name__}: {e}")
                     raise
                 time.sleep(wait)
             else:

@@ -58,7 +58,7 @@ def unseen(files: DataFrame, ledger: DataFrame) -> DataFrame:
 def file_records(ext: str, content: bytes) -> list[tuple[str, bool]]:
     """Records of a file as JSON text, with those that cannot be read marked.
 
-    Bytes that are no UTF-8 are replaced.  A JSON-lines file gives a record a line, blank lines
+    Bytes that are no UTF-8 are replaced; what cannot be read is kept whole.  A JSON-lines file gives a record a line, blank lines
     none; a JSON file one for each element, or a single unreadable one; a CSV file one a row
     with the header's names.  A row with more fields than the header is unreadable.
     """
@@ -72,7 +72,7 @@ def file_records(ext: str, content: bytes) -> list[tuple[str, bool]]:
         try:
             data = json.loads(text)
         except ValueError:
-            return [(text[:500], True)]
+            return [(text, True)]
         for x in data if isinstance(data, list) else [data]:
             out.append((json.dumps(x, sort_keys=True, ensure_ascii=False), not isinstance(x, dict)))
     else:
@@ -85,8 +85,8 @@ def _object(line: str) -> tuple[str, bool]:
     try:
         o = json.loads(line)
     except ValueError:
-        return line[:500], True
-    return (json.dumps(o, sort_keys=True, ensure_ascii=False), False) if isinstance(o, dict) else (line[:500], True)
+        return line, True
+    return (json.dumps(o, sort_keys=True, ensure_ascii=False), False) if isinstance(o, dict) else (line, True)
 
 
 def raw_records(files: DataFrame) -> DataFrame:
