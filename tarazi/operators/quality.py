@@ -66,15 +66,12 @@ def pair_counts(rows: DataFrame, cluster: str, truth: str) -> DataFrame:
 
 
 def batch_gates(rows: DataFrame, batch: str, price: str, error: str, reject_share: float, lowest: int, highest: int) -> DataFrame:
-    """The first gate that stops each batch: empty_batch, reject_ratio or median_price, null where none does.
+    """The first gate that stops each batch: reject_ratio or median_price, null where none does.
 
-    The median is that of the rows without an error; a batch without such rows has none.
+    The median is that of the rows without an error; a batch without such rows has none.  A
+    batch without any rows has none here and does not come out.
     """
     ok = F.col(error).isNull()
     figures = rows.groupBy(batch).agg(F.count(F.lit(1)).alias("n"), F.count(F.when(~ok, 1)).alias("rejected"), F.percentile(F.when(ok, F.col(price)), F.lit(0.5)).alias("median"))
-    gate = (
-        F.when(F.col("n") == 0, "empty_batch")
-        .when(F.col("rejected") > reject_share * F.col("n"), "reject_ratio")
-        .when(F.col("median").isNull() | ~F.col("median").between(lowest, highest), "median_price")
-    )
+    gate = F.when(F.col("rejected") > reject_share * F.col("n"), "reject_ratio").when(F.col("median").isNull() | ~F.col("median").between(lowest, highest), "median_price")
     return figures.withColumn("gate", gate)
